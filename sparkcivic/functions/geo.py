@@ -24,7 +24,9 @@ def haversine_km(lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_KM) -> Col
     dlat = p2 - p1
     dlon = l2 - l1
     a = F.pow(F.sin(dlat / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlon / 2), 2)
-    a = F.least(F.greatest(a, F.lit(0.0)), F.lit(1.0))
+    # CASE rather than least/greatest: those skip NULLs and would turn a
+    # missing coordinate into distance 0
+    a = F.when(a > 1.0, F.lit(1.0)).when(a < 0.0, F.lit(0.0)).otherwise(a)
     return F.lit(radius) * (F.lit(2.0) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a)))
 
 

@@ -13,7 +13,8 @@ def _c(c) -> Column:
 def fixed_decimals(c, digits: int) -> Column:
     """Text with exactly ``digits`` decimals, rounded HALF_UP first so the
     printed digits do not depend on binary representation."""
-    return F.format_string(f"%.{digits}f", F.round(_c(c), digits))
+    col = _c(c)
+    return F.when(col.isNotNull(), F.format_string(f"%.{digits}f", F.round(col, digits)))
 
 
 def rank_label(c, prefix: str = "#") -> Column:

@@ -14,10 +14,11 @@ twice the cell size, and so on; at ``b = 1`` the block is the whole globe,
 so every point settles. The starting ``b`` comes from site density (about
 twenty sites per block on average), so most points settle on the first grid.
 
-Each level is one shuffle join plus one window over the point key. Between
-levels the remainder is written with ``checkpoint()`` under
-``spark.checkpoint.dir``, so lineage stays short and a lost executor costs
-only the current level.
+Each level is one equi-join (broadcast by AQE when the site cells are small
+at run time, a shuffle join otherwise) plus one window over the point key.
+Every level's result is written with ``checkpoint()`` under
+``spark.checkpoint.dir``: the unsettled points are read back from it, lineage
+stays short, and a lost executor costs only the current level.
 """
 
 from __future__ import annotations
@@ -77,10 +78,15 @@ def _start_bits(p_stats, s_stats) -> int:
     return int(min(max(bits, 1), _MAX_BITS))
 
 
-def _stats(df: DataFrame, lat: str, lon: str):
-    return df.agg(F.count(F.lit(1)).alias("n"),
-                  F.min(lat).alias("lat_lo"), F.max(lat).alias("lat_hi"),
-                  F.min(lon).alias("lon_lo"), F.max(lon).alias("lon_hi")).first()
+def _stats(points: DataFrame, sites: DataFrame):
+    """Count and bounding box of both sides, in one job."""
+    def agg(df, lat, lon, side):
+        return df.agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("n"),
+                      F.min(lat).alias("lat_lo"), F.max(lat).alias("lat_hi"),
+                      F.min(lon).alias("lon_lo"), F.max(lon).alias("lon_hi"))
+    rows = {r["side"]: r for r in agg(points, "_plat", "_plon", "p").unionByName(
+        agg(sites, "_slat", "_slon", "s")).collect()}
+    return rows["p"], rows["s"]
 
 
 def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EARTH_RADIUS_KM,
@@ -91,18 +97,16 @@ def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EAR
     _slon`` (both already distinct, non-NULL, latitude in [-90, 90]).
     Returns ``_plat, _plon, _slat, _slon, _d`` with every tied nearest site.
     """
-    spark = points.sparkSession
-    checkpoint_root(spark)
-    todo = points.checkpoint()
-    site_pts = sites.checkpoint()
-    s_stats = _stats(site_pts, "_slat", "_slon")
-    p_stats = _stats(todo, "_plat", "_plon")
+    checkpoint_root(points.sparkSession)
+    p_stats, s_stats = _stats(points, sites)
+    empty = points.limit(0).select(
+        "_plat", "_plon", F.lit(None).cast("double").alias("_slat"),
+        F.lit(None).cast("double").alias("_slon"), F.lit(None).cast("double").alias("_d"))
     if not s_stats["n"] or not p_stats["n"]:
-        return todo.select("_plat", "_plon").limit(0).select(
-            "_plat", "_plon", F.lit(None).cast("double").alias("_slat"),
-            F.lit(None).cast("double").alias("_slon"), F.lit(None).cast("double").alias("_d"))
+        return empty
     bits = start_bits if start_bits is not None else _start_bits(p_stats, s_stats)
     point_key = Window.partitionBy("_plat", "_plon")
+    todo = points
     settled = []
     for b in range(bits, 0, -1):
         n_lon = 1 << b
@@ -114,26 +118,25 @@ def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EAR
         probes = todo.select("_plat", "_plon", F.explode(block).alias("_cell")).select(
             "_plat", "_plon", F.col("_cell._ci").alias("_ci"), F.col("_cell._cj").alias("_cj"))
         si, sj = _cells(F.col("_slat"), F.col("_slon"), g)
-        cells = site_pts.select("_slat", "_slon", si.alias("_ci"), sj.alias("_cj"))
-        cand = probes.join(cells, ["_ci", "_cj"]).select(
+        cells = sites.select("_slat", "_slon", si.alias("_ci"), sj.alias("_cj"))
+        # left join: a point whose block holds no site still yields rows
+        # (with NULL site), so the unsettled points can be read off the result
+        cand = probes.join(cells, ["_ci", "_cj"], "left").select(
             "_plat", "_plon", "_slat", "_slon",
             haversine_km("_plat", "_plon", "_slat", "_slon", radius).alias("_d"))
         best = (cand.withColumn("_dmin", F.min("_d").over(point_key))
-                .filter(F.col("_d") == F.col("_dmin")))
+                .filter((F.col("_d") == F.col("_dmin")) | F.col("_dmin").isNull()))
         if b == 1:
-            ok = F.lit(True)
+            ok = F.col("_dmin").isNotNull()
         else:
             bound = _outside_bound(F.col("_plat"), F.col("_plon"), g, n_lon, radius)
-            ok = bound.isNull() | (F.col("_dmin") < bound * F.lit(1.0 - _SLACK))
+            ok = F.col("_dmin").isNotNull() & (bound.isNull() | (F.col("_dmin") < bound * F.lit(1.0 - _SLACK)))
         level = best.withColumn("_ok", ok).checkpoint()
-        done = level.filter("_ok").select("_plat", "_plon", "_slat", "_slon", "_d")
-        settled.append(done)
-        if b == 1:
-            break
-        todo = todo.join(done.select("_plat", "_plon").distinct(), ["_plat", "_plon"],
-                         "left_anti").checkpoint()
-        if todo.isEmpty():
+        settled.append(level.filter("_ok").select("_plat", "_plon", "_slat", "_slon", "_d"))
+        rest = level.filter(~F.col("_ok"))
+        if b == 1 or rest.isEmpty():
             break
+        todo = rest.select("_plat", "_plon").distinct()
     return reduce(lambda a, c: a.unionByName(c), settled)
 
 

@@ -102,8 +102,9 @@ def with_ctes(names: list[str], body: str) -> str:
 
 
 def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    a = (f"least(greatest(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + "
-         f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2), 0.0e0), 1.0e0)")
+    raw = (f"(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + "
+           f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2))")
+    a = f"(CASE WHEN {raw} > 1.0e0 THEN 1.0e0 WHEN {raw} < 0.0e0 THEN 0.0e0 ELSE {raw} END)"
     return f"(6371.0e0 * (2.0e0 * atan2(sqrt({a}), sqrt(1.0e0 - {a}))))"
 
 

@@ -1,0 +1,101 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from sparkcivic import functions as fn
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_band_edges(spark):
+    df = spark.createDataFrame([(a,) for a in (-3, 0, 17, 18, 24, 25, 64, 65, None)], "age int")
+    got = [r[0] for r in df.select(fn.band("age")).collect()]
+    assert got == ["Children", "Children", "Children", "Young Adults", "Young Adults",
+                   "Adults", "Adults", "Elderly", None]
+
+
+def test_band_safe_and_udf_agree(spark):
+    vals = ["12", "18", "n/a", "", None, "12.7", " 30 ", "70", "-1"]
+    df = spark.createDataFrame([(v,) for v in vals], "t string")
+    native = [r[0] for r in df.select(fn.band_safe("t")).collect()]
+    udf = [r[0] for r in df.select(fn.band_udf()(F.col("t"))).collect()]
+    assert native == udf
+    assert native[2] == native[3] == native[4] == native[5] == "Unknown"
+    assert native[6] == "Adults"
+
+
+def test_parse_year_dirty(spark):
+    df = spark.createDataFrame([("01/08/2020 12:00:00 AM",), ("1/8/2020",), ("garbage",), ("",),
+                                ("02/30/2020 12:00:00 AM",), ("01/08/2020 13:00:00 AM",), (None,)], "d string")
+    got = [r[0] for r in df.select(fn.parse_year("d")).collect()]
+    assert got[0] == 2020 and all(v is None for v in got[1:])
+
+
+def test_parse_year_text(spark):
+    df = spark.createDataFrame([("01/08/2020 12:00:00 AM",), ("1/8/2020",), ("02/30/2020",),
+                                ("garbage",), ("a/b/cdef",), (None,)], "d string")
+    got = [r[0] for r in df.select(fn.parse_year_text("d")).collect()]
+    assert got == [2020, 2020, 2020, None, None, None]
+
+
+def test_clean_money(spark):
+    df = spark.createDataFrame([("$12,345",), ("-",), ("$-1,000",), (" $5 ",), ("nan",), ("inf",), (None,)],
+                               "m string")
+    loose = [r[0] for r in df.select(fn.clean_money("m")).collect()]
+    strict = [r[0] for r in df.select(fn.clean_money_positive("m")).collect()]
+    assert loose[0] == 12345.0 and loose[1] is None and loose[2] == -1000.0
+    assert strict == [12345.0, None, None, 5.0, None, None, None]
+
+
+def test_zip_pad_is_zfill(spark):
+    vals = ["12", "123456", "-7", "+12", "", "00001", None]
+    df = spark.createDataFrame([(v,) for v in vals], "z string")
+    got = [r[0] for r in df.select(fn.zip_pad("z", 5)).collect()]
+    assert got == [v.zfill(5) if v is not None else None for v in vals]
+
+
+def test_contains_any_and_regex(spark):
+    df = spark.createDataFrame([("Hand GUN",), ("weaponry",), ("knife",), (None,)], "d string")
+    got = [r[0] for r in df.select(fn.contains_any("d", ["gun", "weapon"])).collect()]
+    assert got == [True, True, False, None]
+    got = [r[0] for r in df.select(fn.matches("d", "(?i)gun")).collect()]
+    assert got == [True, False, False, None]
+
+
+def _hav(lat1, lon1, lat2, lon2):
+    p1, p2, l1, l2 = map(math.radians, (lat1, lat2, lon1, lon2))
+    a = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin((l2 - l1) / 2) ** 2
+    return 6371.0 * 2 * math.atan2(math.sqrt(a), math.sqrt(1 - a))
+
+
+def test_haversine_matches_formula_and_antipodes(spark):
+    pts = [(34.05, -118.25, 40.71, -74.0), (0.0, 0.0, 0.0, 180.0), (90.0, 0.0, -90.0, 0.0), (1.0, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(pts, "a double, b double, c double, d double")
+    got = [r[0] for r in df.select(fn.haversine_km("a", "b", "c", "d")).collect()]
+    for g, p in zip(got, pts):
+        assert not math.isnan(g)
+        assert g == pytest.approx(_hav(*p), rel=1e-12, abs=1e-9)
+
+
+def test_null_island_modes(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (None, None), (None, 0.0), (0.0, None), (1.0, 0.0), (None, 5.0)],
+                               "lat double, lon double")
+    sql = rows(df.filter(fn.not_null_island("lat", "lon")))
+    safe = rows(df.filter(fn.not_null_island("lat", "lon", null_safe=True)))
+    assert sql == [(1.0, 0.0), (None, 5.0)]
+    assert safe == [(None, None), (None, 0.0), (0.0, None), (1.0, 0.0), (None, 5.0)]
+
+
+def test_report_columns(spark):
+    df = spark.createDataFrame([(2.675, 1), (0.125, 2), (None, 3)], "r double, k int")
+    got = rows(df.select(fn.fixed_decimals("r", 2), fn.rank_label("k"), fn.csv_line("r", "k")))
+    assert got[0][:2] == ("2.68", "#1") and got[1][0] == "0.13"
+    assert got[2] == (None, "#3", ",3")
+
+
+def test_haversine_null_stays_null(spark):
+    df = spark.createDataFrame([(1.0, 1.0, None, None)], "a double, b double, c double, d double")
+    assert df.select(fn.haversine_km("a", "b", "c", "d")).collect()[0][0] is None
