@@ -16,7 +16,7 @@ twenty sites per block on average), so most points settle on the first grid.
 
 Each level is one equi-join (broadcast by AQE when the site cells are small
 at run time, a shuffle join otherwise) plus one window over the point key.
-Every level's result is written with ``checkpoint()`` under
+Every level's result is written as a Parquet table under
 ``spark.checkpoint.dir``: the unsettled points are read back from it, lineage
 stays short, and a lost executor costs only the current level.
 """
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_KM, haversine_km
-from ..session import checkpoint_root
+from ..session import materialize
 
 # relative slack between the distance found and the outside bound; far above
 # floating-point error, so a settled point can never miss an outside site
@@ -97,7 +97,6 @@ def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EAR
     _slon`` (both already distinct, non-NULL, latitude in [-90, 90]).
     Returns ``_plat, _plon, _slat, _slon, _d`` with every tied nearest site.
     """
-    checkpoint_root(points.sparkSession)
     p_stats, s_stats = _stats(points, sites)
     empty = points.limit(0).select(
         "_plat", "_plon", F.lit(None).cast("double").alias("_slat"),
@@ -119,19 +118,22 @@ def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EAR
             "_plat", "_plon", F.col("_cell._ci").alias("_ci"), F.col("_cell._cj").alias("_cj"))
         si, sj = _cells(F.col("_slat"), F.col("_slon"), g)
         cells = sites.select("_slat", "_slon", si.alias("_ci"), sj.alias("_cj"))
-        # left join: a point whose block holds no site still yields rows
-        # (with NULL site), so the unsettled points can be read off the result
-        cand = probes.join(cells, ["_ci", "_cj"], "left").select(
+        cand = probes.join(cells, ["_ci", "_cj"]).select(
             "_plat", "_plon", "_slat", "_slon",
             haversine_km("_plat", "_plon", "_slat", "_slon", radius).alias("_d"))
-        best = (cand.withColumn("_dmin", F.min("_d").over(point_key))
+        # one marker row (no site) per point: a point whose block holds no
+        # site keeps it, so the unsettled points can be read off the result
+        nul = F.lit(None).cast("double")
+        markers = todo.select("_plat", "_plon", nul.alias("_slat"), nul.alias("_slon"), nul.alias("_d"))
+        best = (cand.unionByName(markers)
+                .withColumn("_dmin", F.min("_d").over(point_key))
                 .filter((F.col("_d") == F.col("_dmin")) | F.col("_dmin").isNull()))
         if b == 1:
             ok = F.col("_dmin").isNotNull()
         else:
             bound = _outside_bound(F.col("_plat"), F.col("_plon"), g, n_lon, radius)
             ok = F.col("_dmin").isNotNull() & (bound.isNull() | (F.col("_dmin") < bound * F.lit(1.0 - _SLACK)))
-        level = best.withColumn("_ok", ok).checkpoint()
+        level = materialize(best.withColumn("_ok", ok), f"nearest-level{b}")
         settled.append(level.filter("_ok").select("_plat", "_plon", "_slat", "_slon", "_d"))
         rest = level.filter(~F.col("_ok"))
         if b == 1 or rest.isEmpty():
@@ -148,7 +150,7 @@ def nearest_sites(points: DataFrame, sites: DataFrame, lat: str = "lat", lon: st
 
     Points or sites with a NULL or NaN coordinate, or a latitude outside
     [-90, 90], take no part. Output: all point columns, all site columns and
-    ``distance_col``. ``materialize_points`` checkpoints the points first so
+    ``distance_col``. ``materialize_points`` writes the points out first so
     an expensive upstream plan is not evaluated twice (once for the distinct
     coordinates, once for the final join back).
     """
@@ -156,10 +158,9 @@ def nearest_sites(points: DataFrame, sites: DataFrame, lat: str = "lat", lon: st
         return (F.col(la).isNotNull() & F.col(lo).isNotNull() & ~F.isnan(la) & ~F.isnan(lo)
                 & F.col(la).between(-90.0, 90.0))
 
-    checkpoint_root(points.sparkSession)
     pts = points.filter(valid(lat, lon))
     if materialize_points:
-        pts = pts.checkpoint()
+        pts = materialize(pts, "nearest-points")
     pts = pts.withColumn("_plat", F.col(lat).cast("double")).withColumn("_plon", F.col(lon).cast("double"))
     sts = (sites.filter(valid(site_lat, site_lon))
            .withColumn("_slat", F.col(site_lat).cast("double"))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours gets. AQE re-plans joins from runtime sizes
 # (broadcast only when the materialised side is below the threshold), coalesces
@@ -61,3 +61,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    return a frame that reads it back.
+
+    This cuts lineage like ``checkpoint()`` (a lost executor never forces a
+    recompute of the upstream plan), but stores columnar, compressed data
+    instead of serialized rows, and the read-back gets Parquet statistics.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
