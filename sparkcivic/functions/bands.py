@@ -72,4 +72,7 @@ def band_udf(bands: Sequence[tuple[str, str, float]] = AGE_BANDS,
     def _udf(values: pd.Series) -> pd.Series:
         return _band_series(values, bands, otherwise, unknown)
 
-    return _udf
+    # Declared non-deterministic only so that a filter on the result is not
+    # pushed below the projection with its own copy of the UDF (which would
+    # run the Python worker twice per row).
+    return _udf.asNondeterministic()
