@@ -396,12 +396,16 @@ def q_nearest_site_summary(spark, sf):
 
 @query("haversine", with_ctes(["incidents", "sites"], f"""
 SELECT i.dr_no, s.sid, {spark_round(haversine_sql('i.lat', 'i.lon', 's.site_lat', 's.site_lon'), 6)} AS distance_km
-FROM incidents i JOIN sites s ON s.sid = i.dr_no % 97
+FROM incidents i
+JOIN lineitem l ON l.l_orderkey = i.dr_no
+JOIN sites s ON s.sid = l.l_suppkey
 WHERE i.lat IS NOT NULL AND i.lon IS NOT NULL"""))
 def q_haversine(spark, sf):
+    # distance from each incident to every site that serves its order
     inc = fx.incidents(spark, sf).filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    serves = fx.read(spark, sf, "lineitem", "l_orderkey", "l_suppkey")
     st = fx.sites(spark, sf)
-    j = inc.join(st, st.sid == inc.dr_no % 97)
+    j = inc.join(serves, inc.dr_no == serves.l_orderkey).join(st, st.sid == serves.l_suppkey)
     return j.select("dr_no", "sid", F.round(fn.haversine_km("lat", "lon", "site_lat", "site_lon"), 6)
                     .alias("distance_km"))
 
