@@ -14,6 +14,17 @@ twice the cell size, and so on; at ``b = 1`` the block is the whole globe,
 so every point settles. The starting ``b`` comes from site density (about
 twenty sites per block on average), so most points settle on the first grid.
 
+Hot cells. A cell holding more than ``max_cell_sites`` distinct site
+locations is never paired with points wholesale (a dense cluster would pair
+every nearby point with all of it). Such a cell is descended instead: its
+four sub-cells are joined with the point, each sub-cell contributes one
+representative site whose distance is an upper bound ``U`` for the point, and
+sub-cells whose lower-bound distance from the point exceeds ``U`` are pruned;
+surviving sub-cells with few sites are paired, crowded ones descend again.
+Pruned sites are strictly farther than a real site, so neither the minimum
+nor any tie is lost, and each point meets only the sub-cells near its
+nearest site.
+
 Each level is one equi-join (broadcast by AQE when the site cells are small
 at run time, a shuffle join otherwise) plus one window over the point key.
 Every level's result is written as a Parquet table under
@@ -37,6 +48,7 @@ from ..session import materialize
 _SLACK = 1e-9
 _MAX_BITS = 30
 _SITES_PER_CELL = 2.25  # (1.5)^2: a 3x3 block holds about 20 sites on average
+DEFAULT_MAX_CELL_SITES = 64
 
 
 def _cells(lat: Column, lon: Column, g: float):
@@ -66,6 +78,62 @@ def _outside_bound(lat: Column, lon: Column, g: float, n_lon: int, radius: float
     return F.least(d_lat, d_lon)
 
 
+def _box_bound(lat: Column, lon: Column, ci: Column, cj: Column, g: float, radius: float) -> Column:
+    """Lower bound (km) on the distance from (lat, lon) to any point of grid
+    cell (ci, cj) of size ``g``: latitude gap, wrapped longitude gap, and the
+    smallest cosine over the cell's latitudes."""
+    lat0 = F.greatest(ci * F.lit(g) - F.lit(90.0), F.lit(-90.0))
+    lat1 = F.least((ci + 1) * F.lit(g) - F.lit(90.0), F.lit(90.0))
+    dphi = F.greatest(lat0 - lat, lat - lat1, F.lit(0.0))
+    x = F.pmod(lon + F.lit(180.0), F.lit(360.0))
+    x0 = cj * F.lit(g)
+    x1 = (cj + 1) * F.lit(g)
+    gap = F.least(F.pmod(x0 - x, F.lit(360.0)), F.pmod(x - x1, F.lit(360.0)))
+    dlam = F.when((x >= x0) & (x <= x1), F.lit(0.0)).otherwise(gap)
+    c_min = F.greatest(F.least(F.cos(F.radians(lat0)), F.cos(F.radians(lat1))), F.lit(0.0))
+    h = (F.pow(F.sin(F.radians(dphi) / 2), 2)
+         + F.cos(F.radians(lat)) * c_min * F.pow(F.sin(F.radians(dlam) / 2), 2))
+    return F.lit(2.0 * radius) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+
+
+def _descend(opened: DataFrame, sites: DataFrame, b: int, max_cell_sites: int,
+             radius: float) -> DataFrame | None:
+    """Pairs (point, site, distance) for every site of the crowded cells in
+    ``opened`` (``_plat, _plon, _ci, _cj`` at level ``b``) that can still be
+    nearest, found by pruned descent through sub-cells."""
+    nul = F.lit(None).cast("double")
+    todo = materialize(opened.withColumn("_U", nul), f"nearest-open{b}")
+    point_key = Window.partitionBy("_plat", "_plon")
+    found = []
+    for c in range(b + 1, _MAX_BITS + 1):
+        g = 360.0 / (1 << c)
+        ci, cj = _cells(F.col("_slat"), F.col("_slon"), g)
+        parents = todo.select(F.col("_ci").alias("_pi"), F.col("_cj").alias("_pj")).distinct()
+        sub = (sites.select("_slat", "_slon", ci.alias("_ci"), cj.alias("_cj"))
+               .withColumn("_pi", F.floor(F.col("_ci") / 2)).withColumn("_pj", F.floor(F.col("_cj") / 2))
+               .join(parents, ["_pi", "_pj"], "left_semi"))
+        kids = sub.groupBy("_pi", "_pj", "_ci", "_cj").agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_slat").alias("_rlat"),
+            F.min_by("_slon", "_slat").alias("_rlon"))
+        rows = (todo.select("_plat", "_plon", "_U", F.col("_ci").alias("_pi"), F.col("_cj").alias("_pj"))
+                .join(kids, ["_pi", "_pj"]))
+        rep_d = haversine_km("_plat", "_plon", "_rlat", "_rlon", radius)
+        rows = rows.withColumn("_U", F.least(F.min(rep_d).over(point_key), F.col("_U")))
+        lb = _box_bound(F.col("_plat"), F.col("_plon"), F.col("_ci"), F.col("_cj"), g, radius)
+        keep = materialize(rows.filter(lb * F.lit(1.0 - _SLACK) <= F.col("_U"))
+                           .select("_plat", "_plon", "_ci", "_cj", "_n", "_U"), f"nearest-open{c}")
+        leaf = (F.col("_n") <= max_cell_sites) if c < _MAX_BITS else F.lit(True)
+        leaf_sites = sites.select("_slat", "_slon", ci.alias("_ci"), cj.alias("_cj"))
+        found.append(keep.filter(leaf).select("_plat", "_plon", "_ci", "_cj")
+                     .join(leaf_sites, ["_ci", "_cj"])
+                     .select("_plat", "_plon", "_slat", "_slon",
+                             haversine_km("_plat", "_plon", "_slat", "_slon", radius).alias("_d")))
+        todo = keep.filter(~leaf).select("_plat", "_plon", "_ci", "_cj", "_U")
+        if todo.isEmpty():
+            break
+    return reduce(lambda a, x: a.unionByName(x), found) if found else None
+
+
 def _start_bits(p_stats, s_stats) -> int:
     n_sites = max(int(s_stats["n"]), 1)
     lat_lo = min(p_stats["lat_lo"], s_stats["lat_lo"])
@@ -90,7 +158,8 @@ def _stats(points: DataFrame, sites: DataFrame):
 
 
 def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EARTH_RADIUS_KM,
-                        start_bits: int | None = None) -> DataFrame:
+                        start_bits: int | None = None,
+                        max_cell_sites: int = DEFAULT_MAX_CELL_SITES) -> DataFrame:
     """Nearest site coordinates for distinct point coordinates.
 
     ``points`` has double columns ``_plat, _plon``; ``sites`` has ``_slat,
@@ -118,9 +187,19 @@ def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EAR
             "_plat", "_plon", F.col("_cell._ci").alias("_ci"), F.col("_cell._cj").alias("_cj"))
         si, sj = _cells(F.col("_slat"), F.col("_slon"), g)
         cells = sites.select("_slat", "_slon", si.alias("_ci"), sj.alias("_cj"))
+        hot = (cells.groupBy("_ci", "_cj").agg(F.count(F.lit(1)).alias("_n"))
+               .filter(F.col("_n") > max_cell_sites).select("_ci", "_cj"))
+        has_hot = not hot.isEmpty()
+        if has_hot:
+            hot = materialize(hot, f"nearest-hot{b}")
+            cells = cells.join(hot, ["_ci", "_cj"], "left_anti")
         cand = probes.join(cells, ["_ci", "_cj"]).select(
             "_plat", "_plon", "_slat", "_slon",
             haversine_km("_plat", "_plon", "_slat", "_slon", radius).alias("_d"))
+        if has_hot:
+            deep = _descend(probes.join(hot, ["_ci", "_cj"]), sites, b, max_cell_sites, radius)
+            if deep is not None:
+                cand = cand.unionByName(deep)
         # one marker row (no site) per point: a point whose block holds no
         # site keeps it, so the unsettled points can be read off the result
         nul = F.lit(None).cast("double")
@@ -145,7 +224,8 @@ def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EAR
 def nearest_sites(points: DataFrame, sites: DataFrame, lat: str = "lat", lon: str = "lon",
                   site_lat: str = "site_lat", site_lon: str = "site_lon",
                   distance_col: str = "distance_km", radius: float = EARTH_RADIUS_KM,
-                  start_bits: int | None = None, materialize_points: bool = True) -> DataFrame:
+                  start_bits: int | None = None, materialize_points: bool = True,
+                  max_cell_sites: int = DEFAULT_MAX_CELL_SITES) -> DataFrame:
     """Every point row joined with every site at its minimum distance.
 
     Points or sites with a NULL or NaN coordinate, or a latitude outside
@@ -166,7 +246,8 @@ def nearest_sites(points: DataFrame, sites: DataFrame, lat: str = "lat", lon: st
            .withColumn("_slat", F.col(site_lat).cast("double"))
            .withColumn("_slon", F.col(site_lon).cast("double")))
     nn = nearest_coordinates(pts.select("_plat", "_plon").distinct(),
-                             sts.select("_slat", "_slon").distinct(), radius, start_bits)
+                             sts.select("_slat", "_slon").distinct(), radius, start_bits,
+                             max_cell_sites)
     return (pts.join(nn, ["_plat", "_plon"]).join(sts, ["_slat", "_slon"])
             .withColumnRenamed("_d", distance_col)
             .drop("_plat", "_plon", "_slat", "_slon"))

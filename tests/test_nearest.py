@@ -58,6 +58,40 @@ def test_forced_start_levels(spark, bits):
     pts = [(i, rng.uniform(-80, 80), rng.uniform(-180, 180)) for i in range(150)]
     sts = [(j, rng.uniform(-60, 60), rng.uniform(-180, 180)) for j in range(25)]
     check(spark, pts, sts, start_bits=bits)
+    if bits == 1:
+        check(spark, pts, sts, start_bits=bits, max_cell_sites=2)
+
+
+@pytest.mark.parametrize("cap", [1, 3])
+def test_crowded_cells_descend(spark, cap):
+    """A tight cluster seen from near and far: with a tiny cell capacity the
+    cluster cells are descended rather than paired wholesale."""
+    rng = np.random.default_rng(11 + cap)
+    sts = [(j, 34.0 + rng.random() * 1e-3, -118.3 + rng.random() * 1e-3) for j in range(120)]
+    sts += [(500 + j, 33.7 + rng.random() * 0.6, -118.7 + rng.random() * 0.6) for j in range(15)]
+    sts += [(900, 34.0005, -118.2995), (901, 34.0005, -118.2995)]  # duplicate location inside the cluster
+    pts = [(i, 34.0 + rng.normal() * 0.01, -118.3 + rng.normal() * 0.01) for i in range(80)]
+    pts += [(100 + i, rng.uniform(30, 38), rng.uniform(-125, -110)) for i in range(40)]
+    pts += [(200, 34.0005, -118.2995), (201, -60.0, 60.0)]
+    check(spark, pts, sts, max_cell_sites=cap)
+
+
+def test_crowded_cells_counted(spark, monkeypatch):
+    """The descent really runs (and pairs far fewer than all sites)."""
+    from sparkcivic.operators import nearest as N
+    calls = []
+    real = N._descend
+
+    def spy(*a, **k):
+        calls.append(a[2])
+        return real(*a, **k)
+
+    monkeypatch.setattr(N, "_descend", spy)
+    rng = np.random.default_rng(5)
+    sts = [(j, 10.0 + rng.random() * 1e-4, 10.0 + rng.random() * 1e-4) for j in range(200)]
+    pts = [(i, 10.0 + rng.random() * 1e-4, 10.0 + rng.random() * 1e-4) for i in range(20)]
+    check(spark, pts, sts, max_cell_sites=8, start_bits=6)
+    assert calls
 
 
 def test_poles_antimeridian_and_clusters(spark):
