@@ -10,14 +10,14 @@ cells of ``g = 360 / 2**b`` degrees. A point is joined (equi-join on the cell
 key) with the sites in its 3 x 3 block of cells; the smallest distance found
 there is final when it is below a lower bound on the distance to any site
 *outside* the block. Points that are not settled repeat the step on a grid of
-twice the cell size, and so on; at ``b = 1`` the block is the whole globe,
+four times the cell size, and so on; at ``b = 1`` the block is the whole globe,
 so every point settles. The starting ``b`` comes from site density (about
 twenty sites per block on average), so most points settle on the first grid.
 
 Hot cells. A cell holding more than ``max_cell_sites`` distinct site
 locations is never paired with points wholesale (a dense cluster would pair
 every nearby point with all of it). Such a cell is descended instead: its
-four sub-cells are joined with the point, each sub-cell contributes one
+sixteen sub-cells (two grid levels down) are joined with the point, each sub-cell contributes one
 representative site whose distance is an upper bound ``U`` for the point, and
 sub-cells whose lower-bound distance from the point exceeds ``U`` are pruned;
 surviving sub-cells with few sites are paired, crowded ones descend again.
@@ -49,6 +49,7 @@ _SLACK = 1e-9
 _MAX_BITS = 30
 _SITES_PER_CELL = 2.25  # (1.5)^2: a 3x3 block holds about 20 sites on average
 DEFAULT_MAX_CELL_SITES = 64
+_DESCEND_BITS = 2  # each descent round splits a crowded cell into 4 x 4 sub-cells
 
 
 def _cells(lat: Column, lon: Column, g: float):
@@ -105,12 +106,15 @@ def _descend(opened: DataFrame, sites: DataFrame, b: int, max_cell_sites: int,
     todo = materialize(opened.withColumn("_U", nul), f"nearest-open{b}")
     point_key = Window.partitionBy("_plat", "_plon")
     found = []
-    for c in range(b + 1, _MAX_BITS + 1):
+    prev = b
+    while prev < _MAX_BITS:
+        c = min(prev + _DESCEND_BITS, _MAX_BITS)
+        shift = 1 << (c - prev)
         g = 360.0 / (1 << c)
         ci, cj = _cells(F.col("_slat"), F.col("_slon"), g)
         parents = todo.select(F.col("_ci").alias("_pi"), F.col("_cj").alias("_pj")).distinct()
         sub = (sites.select("_slat", "_slon", ci.alias("_ci"), cj.alias("_cj"))
-               .withColumn("_pi", F.floor(F.col("_ci") / 2)).withColumn("_pj", F.floor(F.col("_cj") / 2))
+               .withColumn("_pi", F.floor(F.col("_ci") / shift)).withColumn("_pj", F.floor(F.col("_cj") / shift))
                .join(parents, ["_pi", "_pj"], "left_semi"))
         kids = sub.groupBy("_pi", "_pj", "_ci", "_cj").agg(
             F.count(F.lit(1)).alias("_n"), F.min("_slat").alias("_rlat"),
@@ -131,6 +135,7 @@ def _descend(opened: DataFrame, sites: DataFrame, b: int, max_cell_sites: int,
         todo = keep.filter(~leaf).select("_plat", "_plon", "_ci", "_cj", "_U")
         if todo.isEmpty():
             break
+        prev = c
     return reduce(lambda a, x: a.unionByName(x), found) if found else None
 
 
@@ -176,7 +181,10 @@ def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EAR
     point_key = Window.partitionBy("_plat", "_plon")
     todo = points
     settled = []
-    for b in range(bits, 0, -1):
+    # unsettled points climb two grid levels per round (cells 4x larger);
+    # the last round (b = 1) is exhaustive
+    levels = list(range(bits, 1, -2)) + [1]
+    for b in levels:
         n_lon = 1 << b
         g = 360.0 / n_lon
         pi, pj = _cells(F.col("_plat"), F.col("_plon"), g)
