@@ -6,7 +6,7 @@ same analysis inputs as ``plans.fixtures`` does in Spark.
 
 from __future__ import annotations
 
-from .fixtures import ERA_SPLIT, JUNK_CODE_LINES, OPEN_STATUSES, WEAPON_WORDS
+from .fixtures import JUNK_CODE_LINES, OPEN_STATUSES, WEAPON_WORDS
 
 
 def pad(expr: str, width: int) -> str:
@@ -107,5 +107,3 @@ def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     a = f"(CASE WHEN {raw} > 1.0e0 THEN 1.0e0 WHEN {raw} < 0.0e0 THEN 0.0e0 ELSE {raw} END)"
     return f"(6371.0e0 * (2.0e0 * atan2(sqrt({a}), sqrt(1.0e0 - {a}))))"
 
-
-ERA = ERA_SPLIT

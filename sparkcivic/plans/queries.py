@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import functions as fn
-from ..operators import (any_code_match, drop_null_island, explode_codes, first_present_column,
+from ..operators import (drop_null_island, explode_codes, first_present_column,
                          flag_not_in, project_cast, require, trim_names, union_eras)
 from ..operators.aggregate import mean_rounded
 from ..session import scratch_path
@@ -39,7 +39,6 @@ def query(name: str, sql: str | None):
     return deco
 
 
-WEAPON_SQL = " OR ".join(f"contains(lower(description), '{w}')" for w in fx.WEAPON_WORDS)
 BAND_SQL = """CASE WHEN {a} < 18 THEN 'Children' WHEN {a} <= 24 THEN 'Young Adults'
                   WHEN {a} <= 64 THEN 'Adults' ELSE 'Elderly' END"""
 YEAR_SQL = f"CAST(year(try_strptime(date_occ, '{TS_FORMAT}')) AS INTEGER)"
