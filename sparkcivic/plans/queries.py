@@ -529,13 +529,13 @@ def q_sink_csv_noheader(spark, sf):
 
 
 @query("sink_text", with_ctes(["income", "census"], f"""
-SELECT i.zip || ',' || printf('%.2f', {_pp('i.v', 'c.h')}) AS value
+SELECT coalesce(i.zip, '') || ',' || coalesce(printf('%.2f', {_pp('i.v', 'c.h')}), '') AS value
 FROM (SELECT zip, {CLEAN_FLOAT} AS v FROM income) i
 JOIN (SELECT zip, hh AS h FROM census) c ON i.zip = c.zip
 WHERE i.v > 0 AND c.h > 0"""))
 def q_sink_text(spark, sf):
     res = analyses.income_per_person(fx.income(spark, sf), fx.census(spark, sf), "positive")
-    lines = res.select(F.concat_ws(",", "zip", fn.fixed_decimals("income_per_person", 2)).alias("value"))
+    lines = res.select(fn.csv_line("zip", fn.fixed_decimals("income_per_person", 2)).alias("value"))
     path = write_text(lines, scratch_path(spark, "ipp-text"))
     return read_text(spark, path)
 
