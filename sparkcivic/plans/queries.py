@@ -79,22 +79,21 @@ def q_age_bands_safe(spark, sf):
 
 
 def _incident_csv_lines(spark, sf) -> tuple[DataFrame, str]:
-    """The incidents as raw CSV text lines (two era files, each with its own
-    header line); the ``premise`` field holds a quoted comma."""
+    """The incidents as raw CSV text lines: one folder per era, each with its
+    own header line; the ``premise`` field holds a quoted comma."""
     first, second = fx.incident_eras(spark, sf)
-    second = trim_names(second)
     cols = ["dr_no", "area", "status", "crime", "age", "date_occ", "lat", "lon", "premise"]
     header = ",".join(cols)
 
-    def lines(df):
+    def lines(df, era):
         df = df.withColumn("premise", F.concat(F.col("crime"), F.lit(", area "), F.col("area")))
-        return df.select(F.to_csv(F.struct(*cols)).alias("value"))
+        return df.select(F.to_csv(F.struct(*cols)).alias("value"), F.lit(era).alias("era"))
 
+    headers = spark.createDataFrame([(header, 1), (header, 2)], "value string, era int")
+    raw = headers.unionByName(lines(first, 1)).unionByName(lines(trim_names(second), 2))
     path = scratch_path(spark, "incident-lines")
-    hdr = spark.createDataFrame([(header,)], "value string")
-    write_text(hdr.unionByName(lines(first)), f"{path}/era1")
-    write_text(hdr.unionByName(lines(second)), f"{path}/era2")
-    return read_text(spark, [f"{path}/era1", f"{path}/era2"]), header
+    raw.write.mode("errorifexists").partitionBy("era").text(path)  # one job, era=1/ and era=2/
+    return read_text(spark, path).select("value"), header
 
 
 @query("csv_lines", with_ctes(["incidents"], f"""
