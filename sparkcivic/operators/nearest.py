@@ -151,27 +151,37 @@ def _start_bits(p_stats, s_stats) -> int:
     return int(min(max(bits, 1), _MAX_BITS))
 
 
-def _stats(points: DataFrame, sites: DataFrame):
-    """Count and bounding box of both sides, in one job."""
+def _box_metrics(lat: str, lon: str) -> dict:
+    return {"n": F.count(F.lit(1)), "lat_lo": F.min(lat), "lat_hi": F.max(lat),
+            "lon_lo": F.min(lon), "lon_hi": F.max(lon)}
+
+
+def _stats(points: DataFrame | None, sites: DataFrame):
+    """Count and bounding box of the sites (and of the points unless they are
+    already known), in one job."""
     def agg(df, lat, lon, side):
-        return df.agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("n"),
-                      F.min(lat).alias("lat_lo"), F.max(lat).alias("lat_hi"),
-                      F.min(lon).alias("lon_lo"), F.max(lon).alias("lon_hi"))
-    rows = {r["side"]: r for r in agg(points, "_plat", "_plon", "p").unionByName(
-        agg(sites, "_slat", "_slon", "s")).collect()}
-    return rows["p"], rows["s"]
+        return df.agg(F.lit(side).alias("side"), *[c.alias(k) for k, c in _box_metrics(lat, lon).items()])
+    frame = agg(sites, "_slat", "_slon", "s")
+    if points is not None:
+        frame = agg(points, "_plat", "_plon", "p").unionByName(frame)
+    rows = {r["side"]: r.asDict() for r in frame.collect()}
+    return rows.get("p"), rows["s"]
 
 
 def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EARTH_RADIUS_KM,
                         start_bits: int | None = None,
-                        max_cell_sites: int = DEFAULT_MAX_CELL_SITES) -> DataFrame:
+                        max_cell_sites: int = DEFAULT_MAX_CELL_SITES,
+                        point_stats: dict | None = None) -> DataFrame:
     """Nearest site coordinates for distinct point coordinates.
 
     ``points`` has double columns ``_plat, _plon``; ``sites`` has ``_slat,
     _slon`` (both already distinct, non-NULL, latitude in [-90, 90]).
     Returns ``_plat, _plon, _slat, _slon, _d`` with every tied nearest site.
+    ``point_stats`` (count and bounding box of the points) saves a pass when
+    the caller already has them.
     """
-    p_stats, s_stats = _stats(points, sites)
+    p_stats, s_stats = _stats(None if point_stats else points, sites)
+    p_stats = point_stats or p_stats
     empty = points.limit(0).select(
         "_plat", "_plon", F.lit(None).cast("double").alias("_slat"),
         F.lit(None).cast("double").alias("_slon"), F.lit(None).cast("double").alias("_d"))
@@ -246,16 +256,18 @@ def nearest_sites(points: DataFrame, sites: DataFrame, lat: str = "lat", lon: st
         return (F.col(la).isNotNull() & F.col(lo).isNotNull() & ~F.isnan(la) & ~F.isnan(lo)
                 & F.col(la).between(-90.0, 90.0))
 
-    pts = points.filter(valid(lat, lon))
+    pts = (points.filter(valid(lat, lon))
+           .withColumn("_plat", F.col(lat).cast("double")).withColumn("_plon", F.col(lon).cast("double")))
+    p_stats = None
     if materialize_points:
-        pts = materialize(pts, "nearest-points")
-    pts = pts.withColumn("_plat", F.col(lat).cast("double")).withColumn("_plon", F.col(lon).cast("double"))
+        # the bounding box comes out of the same write job
+        pts, p_stats = materialize(pts, "nearest-points", _box_metrics("_plat", "_plon"))
     sts = (sites.filter(valid(site_lat, site_lon))
            .withColumn("_slat", F.col(site_lat).cast("double"))
            .withColumn("_slon", F.col(site_lon).cast("double")))
     nn = nearest_coordinates(pts.select("_plat", "_plon").distinct(),
                              sts.select("_slat", "_slon").distinct(), radius, start_bits,
-                             max_cell_sites)
+                             max_cell_sites, p_stats)
     return (pts.join(nn, ["_plat", "_plon"]).join(sts, ["_slat", "_slon"])
             .withColumnRenamed("_d", distance_col)
             .drop("_plat", "_plon", "_slat", "_slon"))

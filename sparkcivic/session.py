@@ -63,14 +63,23 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, metrics: dict | None = None):
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     return a frame that reads it back.
 
     This cuts lineage like ``checkpoint()`` (a lost executor never forces a
     recompute of the upstream plan), but stores columnar, compressed data
     instead of serialized rows, and the read-back gets Parquet statistics.
+
+    ``metrics`` ({name: aggregate Column}) are computed by the same write job
+    through ``DataFrame.observe``; then ``(frame, {name: value})`` is returned.
     """
     path = scratch_path(df.sparkSession, name)
+    obs = None
+    if metrics:
+        from pyspark.sql import Observation
+        obs = Observation(f"materialize-{name}")
+        df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    frame = df.sparkSession.read.parquet(path)
+    return (frame, obs.get) if obs is not None else frame
