@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 3). Each query: one warm-up run, then the best of
+BENCH_REPEAT (default 5). Each query: one warm-up run, then the best of
 BENCH_REPEAT runs, each fully executed into the ``noop`` sink.
 """
 
@@ -35,7 +35,7 @@ def run(spark, sf_dir: str, name: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(master=f"local[{cpus}]", app="sparkcivic-bench", shuffle_partitions=2 * cpus,
                           extra={"spark.driver.memory": "16g"})
