@@ -243,9 +243,16 @@ def nearest_sites(points: DataFrame, sites: DataFrame, lat: str = "lat", lon: st
                   site_lat: str = "site_lat", site_lon: str = "site_lon",
                   distance_col: str = "distance_km", radius: float = EARTH_RADIUS_KM,
                   start_bits: int | None = None, materialize_points: bool = True,
-                  max_cell_sites: int = DEFAULT_MAX_CELL_SITES) -> DataFrame:
+                  max_cell_sites: int = DEFAULT_MAX_CELL_SITES,
+                  per: str | None = None) -> DataFrame:
     """Every point row joined with every site at its minimum distance.
 
+    ``per`` names a column grouping point rows (an id seen at several
+    locations): then only the rows at the group's smallest distance are kept,
+    like ranking all (row, site) pairs of the group and keeping rank 1. This
+    is a ``groupBy`` + semi join rather than a window over the group, so a
+    group holding a large share of the rows is still pre-aggregated and split.
+
     Points or sites with a NULL or NaN coordinate, or a latitude outside
     [-90, 90], take no part. Output: all point columns, all site columns and
     ``distance_col``. ``materialize_points`` writes the points out first so
@@ -268,6 +275,10 @@ def nearest_sites(points: DataFrame, sites: DataFrame, lat: str = "lat", lon: st
     nn = nearest_coordinates(pts.select("_plat", "_plon").distinct(),
                              sts.select("_slat", "_slon").distinct(), radius, start_bits,
                              max_cell_sites, p_stats)
-    return (pts.join(nn, ["_plat", "_plon"]).join(sts, ["_slat", "_slon"])
+    near = pts.join(nn, ["_plat", "_plon"])
+    if per is not None:
+        best = near.groupBy(per).agg(F.min("_d").alias("_best"))
+        near = near.join(best, [near[per] == best[per], near["_d"] == best["_best"]], "left_semi")
+    return (near.join(sts, ["_slat", "_slon"])
             .withColumnRenamed("_d", distance_col)
             .drop("_plat", "_plon", "_slat", "_slon"))

@@ -133,3 +133,11 @@ def test_plan_has_no_cartesian_product(spark):
                                (F.col("id") / 7.0).alias("site_lon"))
     plan = nearest_sites(p, s)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_per_group_keeps_the_closest_location(spark):
+    # id 1 seen at two locations: only the closer location's nearest site counts
+    pts = spark.createDataFrame([(1, 0.0, 0.0), (1, 5.0, 5.0), (2, 5.0, 5.0)], "pid long, lat double, lon double")
+    sts = spark.createDataFrame([(7, 0.0, 0.1), (8, 5.0, 5.5)], "sid long, site_lat double, site_lon double")
+    got = sorted((r.pid, r.sid) for r in nearest_sites(pts, sts, per="pid").collect())
+    assert got == [(1, 7), (2, 8)]
