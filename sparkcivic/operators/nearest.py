@@ -43,9 +43,12 @@ from pyspark.sql import functions as F
 from ..functions.geo import EARTH_RADIUS_KM, haversine_km
 from ..session import materialize
 
-# relative slack between the distance found and the outside bound; far above
-# floating-point error, so a settled point can never miss an outside site
+# slack between a distance found and a bound: relative, plus an absolute 1 um
+# for the finest cells (centimetres), where the absolute rounding error of a
+# 6371 km-scale computation (~1e-12 km) would exceed the relative part alone.
+# Both are far above floating-point error, so no nearer site is ever missed.
 _SLACK = 1e-9
+_ABS_SLACK_KM = 1e-9
 _MAX_BITS = 30
 _SITES_PER_CELL = 2.25  # (1.5)^2: a 3x3 block holds about 20 sites on average
 DEFAULT_MAX_CELL_SITES = 64
@@ -124,7 +127,7 @@ def _descend(opened: DataFrame, sites: DataFrame, b: int, max_cell_sites: int,
         rep_d = haversine_km("_plat", "_plon", "_rlat", "_rlon", radius)
         rows = rows.withColumn("_U", F.least(F.min(rep_d).over(point_key), F.col("_U")))
         lb = _box_bound(F.col("_plat"), F.col("_plon"), F.col("_ci"), F.col("_cj"), g, radius)
-        keep = materialize(rows.filter(lb * F.lit(1.0 - _SLACK) <= F.col("_U"))
+        keep = materialize(rows.filter(lb * F.lit(1.0 - _SLACK) - F.lit(_ABS_SLACK_KM) <= F.col("_U"))
                            .select("_plat", "_plon", "_ci", "_cj", "_n", "_U"), f"nearest-open{c}")
         leaf = (F.col("_n") <= max_cell_sites) if c < _MAX_BITS else F.lit(True)
         leaf_sites = sites.select("_slat", "_slon", ci.alias("_ci"), cj.alias("_cj"))
@@ -229,7 +232,8 @@ def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EAR
             ok = F.col("_dmin").isNotNull()
         else:
             bound = _outside_bound(F.col("_plat"), F.col("_plon"), g, n_lon, radius)
-            ok = F.col("_dmin").isNotNull() & (bound.isNull() | (F.col("_dmin") < bound * F.lit(1.0 - _SLACK)))
+            ok = F.col("_dmin").isNotNull() & (
+                bound.isNull() | (F.col("_dmin") < bound * F.lit(1.0 - _SLACK) - F.lit(_ABS_SLACK_KM)))
         level = materialize(best.withColumn("_ok", ok), f"nearest-level{b}")
         settled.append(level.filter("_ok").select("_plat", "_plon", "_slat", "_slon", "_d"))
         rest = level.filter(~F.col("_ok"))
