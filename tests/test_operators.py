@@ -107,3 +107,13 @@ def test_income_modes(spark):
     assert pos == [("00001", 500.0)]
     assert none == [("00001", 500.0), ("00002", None), ("00003", None)]
     assert bounded == [("00001", 500.0)]  # 00004 is padded but its household is above 15
+
+
+def test_sql_topk_equals_dataframe_topk_with_same_rules(spark):
+    from conftest import SF01
+    from sparkcivic.plans import fixtures as fx
+    inc = fx.incidents(spark, SF01)
+    via_sql = analyses.topk_rate_sql(spark, inc, "date_occ", "area", "status", fx.OPEN_STATUSES)
+    via_df = analyses.topk_rate(inc, "date_occ", "area", "status", fx.OPEN_STATUSES, ties="row",
+                                decimal_digits=10)
+    assert [tuple(r) for r in via_sql.collect()] == [tuple(r) for r in via_df.collect()]
