@@ -9,7 +9,7 @@ same rows are dirty in every engine. ``plans.oracle`` holds the DuckDB twins.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import INCIDENT_TS_FORMAT
@@ -23,6 +23,8 @@ CRIME_WORD = "urgent"
 WEAPON_WORDS = ("hot", "red")        # dictionary words that mark a weapon code
 ERA_SPLIT = "1998-01-01"             # first day of the second era
 JUNK_CODE_LINES = ("", "0400", "abc def", " 12 x")
+CODE_COUNT = 2000                    # incident codes are drawn from 1..CODE_COUNT
+CODE_STEPS = (611953, 746773, 882377, 1299709)  # one multiplier per code slot
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -70,20 +72,19 @@ def incident_eras(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return first, second.toDF(*padded)
 
 
-def code_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """k, mocodes: the part keys of an order (at most seven lines per order in
-    these tables) as 6-digit codes, space separated. The order of codes in the
-    text is not defined; every consumer explodes it."""
-    li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey")
-    return li.groupBy("l_orderkey").agg(
-        F.array_join(F.collect_list(zip_pad(F.col("l_partkey"), 6)), " ").alias("mocodes")
-    ).withColumnRenamed("l_orderkey", "k")
+def mocodes(k) -> Column:
+    """Code-list text of an incident, derived from its key alone: one to four
+    6-digit codes from 1..CODE_COUNT, space separated; NULL for one key in 19.
+    A per-row expression, so no order's codes are gathered through a shuffle."""
+    n = k % len(CODE_STEPS) + 1
+    codes = [F.when(n > i, zip_pad(k * step % CODE_COUNT + 1, 6)) for i, step in enumerate(CODE_STEPS)]
+    return F.when(k % 19 != 0, F.concat_ws(" ", *codes))
 
 
 def incidents_with_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incidents plus ``mocodes``, the code-list text."""
     inc = incidents(spark, sf_dir)
-    codes = code_lists(spark, sf_dir)
-    return inc.join(codes, inc.dr_no == codes.k, "left").drop("k")
+    return inc.withColumn("mocodes", mocodes(F.col("dr_no")))
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:

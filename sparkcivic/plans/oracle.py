@@ -6,7 +6,7 @@ same analysis inputs as ``plans.fixtures`` does in Spark.
 
 from __future__ import annotations
 
-from .fixtures import JUNK_CODE_LINES, OPEN_STATUSES, WEAPON_WORDS
+from .fixtures import CODE_COUNT, CODE_STEPS, JUNK_CODE_LINES, OPEN_STATUSES, WEAPON_WORDS
 
 
 def pad(expr: str, width: int) -> str:
@@ -44,11 +44,12 @@ CTES = {
     FROM orders JOIN customer ON o_custkey = c_custkey)""",
     "incidents": """incidents AS (
     SELECT dr_no, area, status, crime, age, date_occ, lat, lon FROM incidents_all)""",
-    "codes": f"""codes AS (
-    SELECT l_orderkey AS k, string_agg({pad('l_partkey', 6)}, ' ' ORDER BY l_partkey) AS mocodes
-    FROM lineitem GROUP BY l_orderkey)""",
-    "incidents_codes": """incidents_codes AS (
-    SELECT i.*, c.mocodes FROM incidents i LEFT JOIN codes c ON i.dr_no = c.k)""",
+    "incidents_codes": f"""incidents_codes AS (
+    SELECT i.*,
+           CASE WHEN dr_no % 19 <> 0 THEN concat_ws(' ', {', '.join(
+               f"CASE WHEN dr_no % {len(CODE_STEPS)} + 1 > {i} THEN {pad(f'(dr_no * {m}) % {CODE_COUNT} + 1', 6)} END"
+               for i, m in enumerate(CODE_STEPS))}) END AS mocodes
+    FROM incidents i)""",
     "sites": """sites AS (
     SELECT s_suppkey AS sid, s_name AS division,
            CAST(33.7e0 + ((s_suppkey * 6151) % 5000) / 10000.0e0 AS FLOAT) AS site_lat,
@@ -81,7 +82,7 @@ CTES = {
 
 DEPENDS = {
     "incidents": ["incidents_all"],
-    "incidents_codes": ["incidents", "codes"],
+    "incidents_codes": ["incidents"],
     "weapon_points": ["incidents_codes", "dictionary"],
 }
 
