@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sparkcivic.plans.queries import REGISTRY  # noqa: E402
-from sparkcivic.session import build_session  # noqa: E402
+from sparkcivic.session import build_session, scratch_scope  # noqa: E402
 
 HEADLINE = [
     "age_bands", "age_bands_udf", "csv_lines",
@@ -27,9 +27,10 @@ HEADLINE = [
 
 
 def run(spark, sf_dir: str, name: str) -> float:
-    t = time.perf_counter()
-    REGISTRY[name][0](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - t
+    with scratch_scope(spark):  # intermediate tables of this run are deleted after it
+        t = time.perf_counter()
+        REGISTRY[name][0](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t
 
 
 def main() -> None:

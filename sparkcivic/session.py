@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,11 +54,45 @@ def checkpoint_root(spark: SparkSession) -> str:
     return path
 
 
+_scopes = threading.local()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     root = checkpoint_root(spark)
     sep = "" if root.endswith("/") else "/"
-    return f"{root}{sep}sparkcivic/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}{sep}sparkcivic/{name}-{uuid.uuid4().hex[:12]}"
+    for paths in getattr(_scopes, "stack", ()):
+        paths.append(path)
+    return path
+
+
+def delete_paths(spark: SparkSession, paths) -> None:
+    """Recursively delete folders on whatever file system holds them (the
+    Hadoop file system of each path, as Spark's own writers resolve it)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete every scratch folder made inside the block when it ends.
+
+    Frames returned inside the block (e.g. from ``nearest_sites``) read from
+    these folders, so run every action on them before leaving the block.
+    Yields the list of folders made so far.
+    """
+    stack = _scopes.__dict__.setdefault("stack", [])
+    paths: list[str] = []
+    stack.append(paths)
+    try:
+        yield paths
+    finally:
+        stack.pop()
+        delete_paths(spark, paths)
 
 
 def table_path(sf_dir: str, name: str) -> str:

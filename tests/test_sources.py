@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,15 @@ def test_streaming_band_counts_accumulate_over_files(spark):
     h.awaitTermination()
     got = {r.age_group: r["count"] for r in spark.read.parquet(out).collect()}
     assert got == {"Children": 1, "Elderly": 1, "Young Adults": 1}
+
+
+def test_scratch_scope_deletes_its_tables(spark):
+    from sparkcivic.session import materialize, scratch_scope
+    with scratch_scope(spark) as made:
+        df = materialize(spark.range(100), "scope-test")
+        assert df.count() == 100
+        with scratch_scope(spark) as inner:
+            write_text(spark.createDataFrame([("a",)], "value string"), scratch_path(spark, "scope-inner"))
+        assert len(inner) == 1 and not os.path.exists(inner[0].removeprefix("file:"))
+        assert len(made) == 2 and os.path.exists(made[0].removeprefix("file:"))
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in made)
