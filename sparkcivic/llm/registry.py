@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_chat, q_decontaminate
+from . import q_chat, q_decontaminate, q_packing, q_quality, q_secrets
 
-_MODULES = [q_chat, q_decontaminate]
+_MODULES = [q_secrets, q_chat, q_decontaminate, q_quality, q_packing]
 
 
 def queries() -> dict:
