@@ -119,7 +119,8 @@ def contamination(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text:
                   item: str = "item_id", item_text: str = "text", width: int = WINDOW,
                   keep: list[str] | None = None) -> DataFrame:
     """One row per document row: the ``keep`` columns, ``_n_words`` and
-    ``_hits``, an array of ``start, n, items`` for each window occurrence."""
+    ``_hits``, an array of ``start, n, items`` for each window occurrence
+    (these two replace columns of their names)."""
     windows = materialize(test_windows(items, item, item_text, width), "windows")
     planned = materialize(plan_windows(windows, term_counts(docs, windows, text)), "planned")
     found = phrase_candidates(build_index(docs, planned, doc, text), planned)
@@ -127,14 +128,15 @@ def contamination(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text:
     found = materialize(found.groupBy("doc_id").agg(F.collect_set(F.struct("start", "words", "items")).alias("_found")),
                         "candidates")
     found = found.withColumnRenamed("doc_id", "_found_id")
-    rows = docs.select(*[F.col(c) for c in (keep or [doc])], F.col(doc).alias("_id"), F.col(text).alias("_text"))
+    own = [F.col(c) for c in keep or [doc] if c not in ("_n_words", "_hits")]
+    rows = docs.select(F.struct(*own).alias("_row"), F.col(doc).alias("_id"), F.col(text).alias("_text"))
     rows = rows.join(maybe_broadcast(found, found.count(), BROADCAST_ROWS), F.col("_id") == F.col("_found_id"), "left")
-    own = F.when(F.col("_found").isNotNull(), words(ascii_lower(F.col("_text"))))  # only where there are candidates
-    rows = rows.withColumn("_n_words", F.size(words(F.col("_text"))).cast("bigint")).withColumn("_words", own)
+    lower = F.when(F.col("_found").isNotNull(), words(ascii_lower(F.col("_text"))))  # only where there are candidates
+    rows = rows.withColumn("_n_words", F.size(words(F.col("_text"))).cast("bigint")).withColumn("_words", lower)
     hits = F.filter("_found", lambda f: F.slice("_words", f["start"] + 1, F.size(f["words"])) == f["words"])
     hits = F.transform(hits, lambda f: F.struct(f["start"].alias("start"), F.size(f["words"]).alias("n"), f["items"].alias("items")))
     return rows.withColumn("_hits", F.coalesce(hits, F.array().cast("array<struct<start:int,n:int,items:array<bigint>>>"))) \
-        .drop("_id", "_text", "_found", "_found_id", "_words")
+        .select("_row.*", "_n_words", "_hits")
 
 
 def n_hit(hits: Column) -> Column:

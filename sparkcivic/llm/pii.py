@@ -246,9 +246,9 @@ def _replaced(text: Column, key: str, back: bool) -> Column:
 
 def pseudonymise(df: DataFrame, key: str, text: str = "text", back: bool = False) -> DataFrame:
     """``df`` with pseudonyms in ``text`` and ``_pii``, the found spans
-    (``kind, start, end`` in the old text). ``key`` is secret; ``back`` undoes
+    (``kind, start, end`` in the old text; it replaces a column of that name). ``key`` is secret; ``back`` undoes
     a replacement with the same key."""
-    names = df.columns
+    names = [c for c in df.columns if c not in ("_pii", "_pii_new")]
     df = df.withColumn("_pii_new", _replaced(F.col(text), key, back))
     return df.select(*[F.col("_pii_new.text").alias(text) if c == text else F.col(c) for c in names],
                      F.col("_pii_new.found").alias("_pii"))
