@@ -166,6 +166,9 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 def extract(html: str | None) -> str:
     if not html:
         return ""
+    cut = html.rfind("<")
+    if cut >= 0 and ">" not in html[cut:] and re.match(r"</?[A-Za-z]", html[cut:cut + 3]):
+        html = html[:cut]  # a tag that the page's end cuts off
     p = Lines()
     p.feed(html)
     p.close()
