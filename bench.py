@@ -11,6 +11,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -39,7 +40,7 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(master=f"local[{cpus}]", app="sparkcivic-bench", shuffle_partitions=2 * cpus,
-                          extra={"spark.driver.memory": "16g"})
+                          checkpoint_dir=tempfile.mkdtemp(prefix="bench-"), extra={"spark.driver.memory": "16g"})
     times = {}
     for name in names:
         run(spark, sf_dir, name)

@@ -19,6 +19,7 @@ AGE_BANDS: tuple[tuple[str, str, int], ...] = (
 )
 AGE_OTHERWISE = "Elderly"
 UNKNOWN = "Unknown"
+WHOLE_NUMBER = r"[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*"  # what a cast to a whole number accepts
 
 _OPS = {
     "<": lambda c, v: c < v,
@@ -43,26 +44,28 @@ def band(c, bands: Sequence[tuple[str, str, float]] = AGE_BANDS,
 
 def band_safe(c, bands: Sequence[tuple[str, str, float]] = AGE_BANDS,
               otherwise: str = AGE_OTHERWISE, unknown: str = UNKNOWN) -> Column:
-    """Band of a value that may be text: integers are banded, anything that
-    is not an integer (NULL, '', 'abc', '12.7') becomes ``unknown``."""
-    return F.coalesce(band(_c(c).cast("string").try_cast("int"), bands, otherwise), F.lit(unknown))
+    """Band of a value that may be text: whole numbers of up to 64 bits are
+    banded; all else (NULL, '', 'abc', '12.0', '1e1', 'inf') becomes ``unknown``."""
+    return F.coalesce(band(_c(c).cast("string").try_cast("bigint"), bands, otherwise), F.lit(unknown))
 
 
 def _band_series(values: pd.Series, bands, otherwise, unknown) -> pd.Series:
-    num = pd.to_numeric(values, errors="coerce")
-    # only whole numbers are ages; 12.7 or text is unknown
-    whole = num.notna() & (num == np.floor(num.fillna(0)))
+    text = values.fillna("").astype(str)
+    whole = text.str.fullmatch(WHOLE_NUMBER)
+    num = text.where(whole, "0").map(int)  # unbounded, so the range test is exact
+    whole &= num.map(lambda n: -2 ** 63 <= n < 2 ** 63).astype(bool)
     conds, labels = [], []
     for label, op, bound in bands:
-        conds.append(whole & ((num < bound) if op == "<" else (num <= bound)))
+        conds.append(num.map(lambda n: n < bound if op == "<" else n <= bound).to_numpy(dtype=bool))
         labels.append(label)
-    out = np.select(conds, labels, default=otherwise)
+    out = np.select(conds, labels, default=otherwise) if len(values) else np.array([], dtype=object)
     return pd.Series(np.where(whole, out, unknown), index=values.index)
 
 
 def band_udf(bands: Sequence[tuple[str, str, float]] = AGE_BANDS,
              otherwise: str = AGE_OTHERWISE, unknown: str = UNKNOWN):
-    """The Python-side twin of :func:`band_safe` as an Arrow-batched pandas UDF.
+    """The Python-side twin of :func:`band_safe` as an Arrow-batched pandas UDF,
+    a function of one column. The column goes over as text, like there.
 
     Kept for native-vs-UDF comparisons; the native form is the default.
     """
@@ -75,4 +78,5 @@ def band_udf(bands: Sequence[tuple[str, str, float]] = AGE_BANDS,
     # Declared non-deterministic only so that a filter on the result is not
     # pushed below the projection with its own copy of the UDF (which would
     # run the Python worker twice per row).
-    return _udf.asNondeterministic()
+    udf = _udf.asNondeterministic()
+    return lambda c: udf(_c(c).cast("string"))

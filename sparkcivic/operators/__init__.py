@@ -5,6 +5,7 @@ from .columns import first_present_column, project_cast, trim_names
 from .filters import drop_null_island, flag_not_in, require
 from .membership import any_code_match, explode_codes
 from .nearest import nearest_coordinates, nearest_sites
+from .sample import in_sample, sample_by_key, sample_rows
 from .topk import topk_per_group
 from .union import union_eras
 
@@ -14,5 +15,6 @@ __all__ = [
     "drop_null_island", "flag_not_in", "require",
     "any_code_match", "explode_codes",
     "nearest_coordinates", "nearest_sites",
+    "in_sample", "sample_by_key", "sample_rows",
     "topk_per_group", "union_eras",
 ]

@@ -11,8 +11,10 @@ key) with the sites in its 3 x 3 block of cells; the smallest distance found
 there is final when it is below a lower bound on the distance to any site
 *outside* the block. Points that are not settled repeat the step on a grid of
 four times the cell size, and so on; at ``b = 1`` the block is the whole globe,
-so every point settles. The starting ``b`` comes from site density (about
-twenty sites per block on average), so most points settle on the first grid.
+so every point settles. The starting ``b`` comes from the number of sites per
+occupied cell, so most points settle on the first grid and a few far-away
+locations do not change it. When the points left over are few enough for a
+bounded number of pairs, one last round settles them.
 
 Hot cells. A cell holding more than ``max_cell_sites`` distinct site
 locations is never paired with points wholesale (a dense cluster would pair
@@ -34,7 +36,6 @@ stays short, and a lost executor costs only the current level.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -52,6 +53,8 @@ _ABS_SLACK_KM = 1e-9
 _MAX_BITS = 30
 _SITES_PER_CELL = 2.25  # (1.5)^2: a 3x3 block holds about 20 sites on average
 DEFAULT_MAX_CELL_SITES = 64
+_PROBED_BITS = tuple(range(2, 27, 2))  # levels tried for the start
+FINAL_PAIRS = 2_000_000  # pairs of a left-over point and a site that one last round may hold
 _DESCEND_BITS = 2  # each descent round splits a crowded cell into 4 x 4 sub-cells
 
 
@@ -101,10 +104,12 @@ def _box_bound(lat: Column, lon: Column, ci: Column, cj: Column, g: float, radiu
 
 
 def _descend(opened: DataFrame, sites: DataFrame, b: int, max_cell_sites: int,
-             radius: float) -> DataFrame | None:
+             radius: float) -> DataFrame:
     """Pairs (point, site, distance) for every site of the crowded cells in
     ``opened`` (``_plat, _plon, _ci, _cj`` at level ``b``) that can still be
     nearest, found by pruned descent through sub-cells."""
+    if b >= _MAX_BITS:
+        raise ValueError("no finer level to open a crowded cell at")
     nul = F.lit(None).cast("double")
     todo = materialize(opened.withColumn("_U", nul), f"nearest-open{b}")
     point_key = Window.partitionBy("_plat", "_plon")
@@ -139,65 +144,42 @@ def _descend(opened: DataFrame, sites: DataFrame, b: int, max_cell_sites: int,
         if todo.isEmpty():
             break
         prev = c
-    return reduce(lambda a, x: a.unionByName(x), found) if found else None
+    return reduce(lambda a, x: a.unionByName(x), found)
 
 
-def _start_bits(p_stats, s_stats) -> int:
-    n_sites = max(int(s_stats["n"]), 1)
-    lat_lo = min(p_stats["lat_lo"], s_stats["lat_lo"])
-    lat_hi = max(p_stats["lat_hi"], s_stats["lat_hi"])
-    lon_lo = min(p_stats["lon_lo"], s_stats["lon_lo"])
-    lon_hi = max(p_stats["lon_hi"], s_stats["lon_hi"])
-    area = max(lat_hi - lat_lo, 1e-6) * max(lon_hi - lon_lo, 1e-6)
-    target = math.sqrt(_SITES_PER_CELL * area / n_sites)
-    bits = math.ceil(math.log2(360.0 / max(target, 1e-12)))
-    return int(min(max(bits, 1), _MAX_BITS))
-
-
-def _box_metrics(lat: str, lon: str) -> dict:
-    return {"n": F.count(F.lit(1)), "lat_lo": F.min(lat), "lat_hi": F.max(lat),
-            "lon_lo": F.min(lon), "lon_hi": F.max(lon)}
-
-
-def _stats(points: DataFrame | None, sites: DataFrame):
-    """Count and bounding box of the sites (and of the points unless they are
-    already known), in one job."""
-    def agg(df, lat, lon, side):
-        return df.agg(F.lit(side).alias("side"), *[c.alias(k) for k, c in _box_metrics(lat, lon).items()])
-    frame = agg(sites, "_slat", "_slon", "s")
-    if points is not None:
-        frame = agg(points, "_plat", "_plon", "p").unionByName(frame)
-    rows = {r["side"]: r.asDict() for r in frame.collect()}
-    return rows.get("p"), rows["s"]
+def _start_bits(sites: DataFrame) -> tuple[int, int]:
+    """Number of sites and the starting level, in one pass over the sites: the
+    finest probed level at which occupied cells still hold about
+    ``_SITES_PER_CELL`` sites. Only occupied cells count, so a few far-away
+    sites or points do not change the level of the rest."""
+    def occupied(b):
+        ci, cj = _cells(F.col("_slat"), F.col("_slon"), 360.0 / (1 << b))
+        return F.approx_count_distinct(F.struct(ci, cj)).alias(f"b{b}")
+    row = sites.agg(F.count(F.lit(1)).alias("n"), *[occupied(b) for b in _PROBED_BITS]).first()
+    n = row["n"]
+    fits = [b for b in _PROBED_BITS if n and n / max(row[f"b{b}"], 1) >= _SITES_PER_CELL]
+    return n, max(fits, default=_PROBED_BITS[0])
 
 
 def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EARTH_RADIUS_KM,
                         start_bits: int | None = None,
-                        max_cell_sites: int = DEFAULT_MAX_CELL_SITES,
-                        point_stats: dict | None = None) -> DataFrame:
+                        max_cell_sites: int = DEFAULT_MAX_CELL_SITES) -> DataFrame:
     """Nearest site coordinates for distinct point coordinates.
 
     ``points`` has double columns ``_plat, _plon``; ``sites`` has ``_slat,
-    _slon`` (both already distinct, non-NULL, latitude in [-90, 90]).
-    Returns ``_plat, _plon, _slat, _slon, _d`` with every tied nearest site.
-    ``point_stats`` (count and bounding box of the points) saves a pass when
-    the caller already has them.
+    _slon`` (both already distinct, finite, latitude in [-90, 90]; read more
+    than once, so pass a written table). Returns ``_plat, _plon, _slat,
+    _slon, _d`` with every tied nearest site.
     """
-    p_stats, s_stats = _stats(None if point_stats else points, sites)
-    p_stats = point_stats or p_stats
-    empty = points.limit(0).select(
-        "_plat", "_plon", F.lit(None).cast("double").alias("_slat"),
-        F.lit(None).cast("double").alias("_slon"), F.lit(None).cast("double").alias("_d"))
-    if not s_stats["n"] or not p_stats["n"]:
-        return empty
-    bits = start_bits if start_bits is not None else _start_bits(p_stats, s_stats)
-    point_key = Window.partitionBy("_plat", "_plon")
-    todo = points
-    settled = []
-    # unsettled points climb two grid levels per round (cells 4x larger);
-    # the last round (b = 1) is exhaustive
-    levels = list(range(bits, 1, -2)) + [1]
-    for b in levels:
+    n_sites, bits = _start_bits(sites)
+    if start_bits is not None:
+        bits = min(max(int(start_bits), 1), _MAX_BITS)
+    nul = F.lit(None).cast("double")
+    if not n_sites:
+        return points.limit(0).select("_plat", "_plon", nul.alias("_slat"), nul.alias("_slon"), nul.alias("_d"))
+    point_key = Window.partitionBy("_plat", "_plon").orderBy(F.col("_d").asc_nulls_last())
+    todo, settled, b, small = points, [], bits, False
+    while True:
         n_lon = 1 << b
         g = 360.0 / n_lon
         pi, pj = _cells(F.col("_plat"), F.col("_plon"), g)
@@ -208,38 +190,39 @@ def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EAR
             "_plat", "_plon", F.col("_cell._ci").alias("_ci"), F.col("_cell._cj").alias("_cj"))
         si, sj = _cells(F.col("_slat"), F.col("_slon"), g)
         cells = sites.select("_slat", "_slon", si.alias("_ci"), sj.alias("_cj"))
-        hot = (cells.groupBy("_ci", "_cj").agg(F.count(F.lit(1)).alias("_n"))
-               .filter(F.col("_n") > max_cell_sites).select("_ci", "_cj"))
-        has_hot = not hot.isEmpty()
+        # a crowded cell is opened level by level, as long as there is a finer level
+        has_hot = False
+        if b < _MAX_BITS and n_sites > max_cell_sites and not small:
+            hot, seen = materialize(cells.groupBy("_ci", "_cj").agg(F.count(F.lit(1)).alias("_n"))
+                                    .filter(F.col("_n") > max_cell_sites).select("_ci", "_cj"),
+                                    f"nearest-hot{b}", {"n": F.count(F.lit(1))})
+            has_hot = seen["n"] > 0
         if has_hot:
-            hot = materialize(hot, f"nearest-hot{b}")
             cells = cells.join(hot, ["_ci", "_cj"], "left_anti")
         cand = probes.join(cells, ["_ci", "_cj"]).select(
             "_plat", "_plon", "_slat", "_slon",
             haversine_km("_plat", "_plon", "_slat", "_slon", radius).alias("_d"))
         if has_hot:
-            deep = _descend(probes.join(hot, ["_ci", "_cj"]), sites, b, max_cell_sites, radius)
-            if deep is not None:
-                cand = cand.unionByName(deep)
-        # one marker row (no site) per point: a point whose block holds no
-        # site keeps it, so the unsettled points can be read off the result
-        nul = F.lit(None).cast("double")
+            cand = cand.unionByName(_descend(probes.join(hot, ["_ci", "_cj"]), sites, b, max_cell_sites, radius))
+        # one marker row (no site) per point: it ranks first only for a point
+        # whose block holds no site, so the unsettled points can be read off
         markers = todo.select("_plat", "_plon", nul.alias("_slat"), nul.alias("_slon"), nul.alias("_d"))
-        best = (cand.unionByName(markers)
-                .withColumn("_dmin", F.min("_d").over(point_key))
-                .filter((F.col("_d") == F.col("_dmin")) | F.col("_dmin").isNull()))
+        best = cand.unionByName(markers).withColumn("_rk", F.rank().over(point_key)).filter("_rk = 1").drop("_rk")
         if b == 1:
-            ok = F.col("_dmin").isNotNull()
+            ok = F.col("_d").isNotNull()
         else:
             bound = _outside_bound(F.col("_plat"), F.col("_plon"), g, n_lon, radius)
-            ok = F.col("_dmin").isNotNull() & (
-                bound.isNull() | (F.col("_dmin") < bound * F.lit(1.0 - _SLACK) - F.lit(_ABS_SLACK_KM)))
-        level = materialize(best.withColumn("_ok", ok), f"nearest-level{b}")
+            ok = F.col("_d").isNotNull() & (
+                bound.isNull() | (F.col("_d") < bound * F.lit(1.0 - _SLACK) - F.lit(_ABS_SLACK_KM)))
+        level, seen = materialize(best.withColumn("_ok", ok), f"nearest-level{b}", {"rest": F.count_if(~F.col("_ok"))})
         settled.append(level.filter("_ok").select("_plat", "_plon", "_slat", "_slon", "_d"))
-        rest = level.filter(~F.col("_ok"))
-        if b == 1 or rest.isEmpty():
+        if b == 1 or not seen["rest"]:
             break
-        todo = rest.select("_plat", "_plon").distinct()
+        todo = level.filter(~F.col("_ok")).select("_plat", "_plon").distinct()
+        # unsettled points climb two grid levels (cells 4x larger); when few
+        # enough are left, the last level (b = 1, the whole globe) settles them
+        small = seen["rest"] * n_sites <= FINAL_PAIRS
+        b = 1 if small else max(1, b - 2)
     return reduce(lambda a, c: a.unionByName(c), settled)
 
 
@@ -253,36 +236,31 @@ def nearest_sites(points: DataFrame, sites: DataFrame, lat: str = "lat", lon: st
 
     ``per`` names a column grouping point rows (an id seen at several
     locations): then only the rows at the group's smallest distance are kept,
-    like ranking all (row, site) pairs of the group and keeping rank 1. This
-    is a ``groupBy`` + semi join rather than a window over the group, so a
-    group holding a large share of the rows is still pre-aggregated and split.
+    like ranking all (row, site) pairs of the group and keeping rank 1. NULL
+    ids form one group. The rank is pruned before its shuffle.
 
-    Points or sites with a NULL or NaN coordinate, or a latitude outside
-    [-90, 90], take no part. Output: all point columns, all site columns and
-    ``distance_col``. ``materialize_points`` writes the points out first so
-    an expensive upstream plan is not evaluated twice (once for the distinct
-    coordinates, once for the final join back).
+    Points or sites with a NULL, NaN or infinite coordinate, or a latitude
+    outside [-90, 90], take no part. Output: all point columns, all site
+    columns and ``distance_col``. ``materialize_points`` writes the points out
+    first so an expensive upstream plan is not evaluated twice (once for the
+    distinct coordinates, once for the final join back). The distinct site
+    locations are always written, as every level reads them.
     """
     def valid(la: str, lo: str) -> Column:
-        return (F.col(la).isNotNull() & F.col(lo).isNotNull() & ~F.isnan(la) & ~F.isnan(lo)
-                & F.col(la).between(-90.0, 90.0))
+        return F.col(la).between(-90.0, 90.0) & (F.abs(F.col(lo).cast("double")) < float("inf"))
 
     pts = (points.filter(valid(lat, lon))
            .withColumn("_plat", F.col(lat).cast("double")).withColumn("_plon", F.col(lon).cast("double")))
-    p_stats = None
     if materialize_points:
-        # the bounding box comes out of the same write job
-        pts, p_stats = materialize(pts, "nearest-points", _box_metrics("_plat", "_plon"))
+        pts = materialize(pts, "nearest-points")
     sts = (sites.filter(valid(site_lat, site_lon))
            .withColumn("_slat", F.col(site_lat).cast("double"))
            .withColumn("_slon", F.col(site_lon).cast("double")))
-    nn = nearest_coordinates(pts.select("_plat", "_plon").distinct(),
-                             sts.select("_slat", "_slon").distinct(), radius, start_bits,
-                             max_cell_sites, p_stats)
+    places = materialize(sts.select("_slat", "_slon").distinct(), "nearest-sites")
+    nn = nearest_coordinates(pts.select("_plat", "_plon").distinct(), places, radius, start_bits, max_cell_sites)
     near = pts.join(nn, ["_plat", "_plon"])
     if per is not None:
-        best = near.groupBy(per).agg(F.min("_d").alias("_best"))
-        near = near.join(best, [near[per] == best[per], near["_d"] == best["_best"]], "left_semi")
+        near = near.withColumn("_rk", F.rank().over(Window.partitionBy(per).orderBy("_d"))).filter("_rk = 1").drop("_rk")
     return (near.join(sts, ["_slat", "_slon"])
             .withColumnRenamed("_d", distance_col)
             .drop("_plat", "_plon", "_slat", "_slon"))

@@ -92,12 +92,18 @@ def top_areas(crime: DataFrame, variant: str = "dataframe") -> DataFrame:
     return analyses.topk_rate(crime, DATE_OCC, AREA_NAME, STATUS_DESC, OPEN_CASE_STATUSES, **opts)
 
 
+def _required(df: DataFrame, names: Sequence[str]):
+    if not any(n in df.columns for n in names):
+        raise ValueError(f"none of the columns {', '.join(names)}")
+    return first_present_column(df, names)
+
+
 def income_per_person(income: DataFrame, census: DataFrame, mode: str = "positive") -> DataFrame:
-    """Income per person by ZIP; the first present of the known column names is used."""
-    inc = income.select(first_present_column(income, ZIP_NAMES).alias("zip"),
-                        first_present_column(income, INCOME_NAMES).cast("string").alias("inc"))
-    pop = census.select(first_present_column(census, ZIP_NAMES).alias("zip"),
-                        first_present_column(census, HOUSEHOLD_NAMES).alias("hh"))
+    """Income per person by ZIP; the first present of the known column names is
+    used, and a table that has none of them is an error."""
+    inc = income.select(_required(income, ZIP_NAMES).alias("zip"),
+                        _required(income, INCOME_NAMES).cast("string").alias("inc"))
+    pop = census.select(_required(census, ZIP_NAMES).alias("zip"), _required(census, HOUSEHOLD_NAMES).alias("hh"))
     return analyses.income_per_person(inc, pop, mode)
 
 

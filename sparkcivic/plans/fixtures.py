@@ -23,7 +23,6 @@ CRIME_WORD = "urgent"
 WEAPON_WORDS = ("hot", "red")        # dictionary words that mark a weapon code
 ERA_SPLIT = "1998-01-01"             # first day of the second era
 JUNK_CODE_LINES = ("", "0400", "abc def", " 12 x")
-CODE_COUNT = 2000                    # incident codes are drawn from 1..CODE_COUNT
 CODE_STEPS = (611953, 746773, 882377, 1299709)  # one multiplier per code slot
 
 
@@ -32,10 +31,10 @@ def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
-def _incident_columns(k):
+def _incident_columns(k, area: bool):
     return [
         F.col("o_orderkey").alias("dr_no"),
-        F.col("c_nationkey").alias("area"),
+        *([F.col("c_nationkey").alias("area")] if area else []),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("crime"),
         F.when(k % 17 == 0, F.lit(None)).otherwise(
@@ -54,7 +53,7 @@ def incidents_with_date(spark: SparkSession, sf_dir: str) -> DataFrame:
              "o_orderpriority", "o_totalprice", "o_orderdate")
     c = read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     k = F.col("o_orderkey")
-    return o.join(c, o.o_custkey == c.c_custkey).select(*_incident_columns(k), "o_orderdate")
+    return o.join(c, o.o_custkey == c.c_custkey).select(*_incident_columns(k, True), "o_orderdate")
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,29 +61,40 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incidents_with_date(spark, sf_dir).drop("o_orderdate")
 
 
+def incidents_alone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incidents without their area, which needs no join."""
+    o = read(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate")
+    return o.select(*_incident_columns(F.col("o_orderkey"), False))
+
+
+def padded(df: DataFrame) -> DataFrame:
+    """The same columns under names with blanks around them."""
+    return df.toDF(*[f" {c}" if i % 2 == 0 else f"{c}  " for i, c in enumerate(df.columns)])
+
+
 def incident_eras(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The incidents split in two eras; the second era carries padded column
     names, as one of the real extracts does."""
     both = incidents_with_date(spark, sf_dir)
     first = both.filter(F.col("o_orderdate") < F.lit(ERA_SPLIT).cast("timestamp")).drop("o_orderdate")
     second = both.filter(F.col("o_orderdate") >= F.lit(ERA_SPLIT).cast("timestamp")).drop("o_orderdate")
-    padded = [f" {c}" if i % 2 == 0 else f"{c}  " for i, c in enumerate(second.columns)]
-    return first, second.toDF(*padded)
+    return first, padded(second)
 
 
-def mocodes(k) -> Column:
-    """Code-list text of an incident, derived from its key alone: one to four
-    6-digit codes from 1..CODE_COUNT, space separated; NULL for one key in 19.
-    A per-row expression, so no order's codes are gathered through a shuffle."""
+def mocodes(k, parts: Column) -> Column:
+    """Code-list text of an incident, derived from its key: one to four 6-digit
+    codes from 1..``parts``, space separated; NULL for one key in 19. A per-row
+    expression, so no order's codes are gathered through a shuffle."""
     n = k % len(CODE_STEPS) + 1
-    codes = [F.when(n > i, zip_pad(k * step % CODE_COUNT + 1, 6)) for i, step in enumerate(CODE_STEPS)]
+    codes = [F.when(n > i, zip_pad(k * step % parts + 1, 6)) for i, step in enumerate(CODE_STEPS)]
     return F.when(k % 19 != 0, F.concat_ws(" ", *codes))
 
 
 def incidents_with_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The incidents plus ``mocodes``, the code-list text."""
-    inc = incidents(spark, sf_dir)
-    return inc.withColumn("mocodes", mocodes(F.col("dr_no")))
+    """The incidents (without area) plus ``mocodes``, the code-list text, whose
+    codes reach over all part keys."""
+    parts = read(spark, sf_dir, "part", "p_partkey").agg(F.max("p_partkey")).scalar()
+    return incidents_alone(spark, sf_dir).withColumn("mocodes", mocodes(F.col("dr_no"), parts))
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,11 +114,12 @@ def census(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def income(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """zip, inc: money as text like '$12,345' ('-' when unknown), two thirds of the ZIPs."""
+    """zip, inc: money as text like '$12,345' ('-' when unknown); a third of the
+    rows have a ZIP that the census does not know."""
     k = F.col("c_custkey")
     money = F.concat(F.lit("$"), F.format_number(F.floor(F.col("c_acctbal") * 10), 0))
-    return (read(spark, sf_dir, "customer", "c_custkey", "c_acctbal").filter(k % 3 != 0)
-            .select(zip_pad(k, 5).alias("zip"),
+    return (read(spark, sf_dir, "customer", "c_custkey", "c_acctbal")
+            .select(zip_pad(F.when(k % 3 != 0, k).otherwise(-k - 1), 5).alias("zip"),
                     F.when(k % 29 == 0, F.lit("-")).otherwise(money).alias("inc")))
 
 

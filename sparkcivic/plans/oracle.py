@@ -6,7 +6,7 @@ same analysis inputs as ``plans.fixtures`` does in Spark.
 
 from __future__ import annotations
 
-from .fixtures import CODE_COUNT, CODE_STEPS, JUNK_CODE_LINES, OPEN_STATUSES, WEAPON_WORDS
+from .fixtures import CODE_STEPS, JUNK_CODE_LINES, OPEN_STATUSES, WEAPON_WORDS
 
 
 def pad(expr: str, width: int) -> str:
@@ -47,7 +47,7 @@ CTES = {
     "incidents_codes": f"""incidents_codes AS (
     SELECT i.*,
            CASE WHEN dr_no % 19 <> 0 THEN concat_ws(' ', {', '.join(
-               f"CASE WHEN dr_no % {len(CODE_STEPS)} + 1 > {i} THEN {pad(f'(dr_no * {m}) % {CODE_COUNT} + 1', 6)} END"
+               f"CASE WHEN dr_no % {len(CODE_STEPS)} + 1 > {i} THEN {pad(f'(dr_no * {m}) % (SELECT max(p_partkey) FROM part) + 1', 6)} END"
                for i, m in enumerate(CODE_STEPS))}) END AS mocodes
     FROM incidents i)""",
     "sites": """sites AS (
@@ -60,10 +60,10 @@ CTES = {
            CAST(CAST(c_custkey % 200 AS DOUBLE) / 10.0e0 AS FLOAT) AS hh
     FROM customer)""",
     "income": f"""income AS (
-    SELECT {pad('c_custkey', 5)} AS zip,
+    SELECT CASE WHEN c_custkey % 3 <> 0 THEN {pad('c_custkey', 5)} ELSE '-' || {pad('(c_custkey + 1)', 4)} END AS zip,
            CASE WHEN c_custkey % 29 = 0 THEN '-'
                 ELSE '$' || format('{{:,}}', CAST(floor(c_acctbal * 10) AS BIGINT)) END AS inc
-    FROM customer WHERE c_custkey % 3 <> 0)""",
+    FROM customer)""",
     "dictionary": """dictionary AS (
     SELECT CAST(p_partkey AS INTEGER) AS code, p_name AS description FROM part)""",
     "code_lines": f"""code_lines AS (

@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import functions as fn
 from ..operators import (drop_null_island, explode_codes, first_present_column,
-                         flag_not_in, project_cast, require, trim_names, union_eras)
+                         flag_not_in, project_cast, require, sample_by_key, trim_names, union_eras)
 from ..operators.aggregate import mean_rounded
 from ..session import scratch_path
 from ..sources import (Source, code_dictionary, ingest, parse_csv_lines, read_csv, read_text,
@@ -54,30 +54,42 @@ GROUP BY 1""")
 
 @query("age_bands", AGE_BANDS_SQL)
 def q_age_bands(spark, sf):
-    return analyses.band_counts(fx.incidents(spark, sf), "age", "crime", fx.CRIME_PATTERN)
+    return analyses.band_counts(fx.incidents_alone(spark, sf), "age", "crime", fx.CRIME_PATTERN)
 
 
 @query("age_bands_udf", AGE_BANDS_SQL)
 def q_age_bands_udf(spark, sf):
-    return analyses.band_counts(fx.incidents(spark, sf), "age", "crime", fx.CRIME_PATTERN, how="udf")
+    return analyses.band_counts(fx.incidents_alone(spark, sf), "age", "crime", fx.CRIME_PATTERN, how="udf")
 
 
-@query("age_bands_safe", with_ctes(["incidents"], f"""
+AGE_TEXT_SQL = with_ctes(["incidents"], f"""
 SELECT CASE WHEN TRY_CAST(t AS INTEGER) IS NULL THEN 'Unknown'
             ELSE {BAND_SQL.format(a='TRY_CAST(t AS INTEGER)')} END AS age_group,
        count(*) AS count
 FROM (SELECT crime, CASE WHEN dr_no % 19 = 0 THEN 'n/a' ELSE CAST(age AS VARCHAR) END AS t
       FROM incidents) s
 WHERE contains(lower(crime), '{fx.CRIME_WORD}')
-GROUP BY 1"""))
+GROUP BY 1""")
+
+
+@query("age_bands_safe", AGE_TEXT_SQL)
 def q_age_bands_safe(spark, sf):
-    inc = fx.incidents(spark, sf)
+    inc = fx.incidents_alone(spark, sf)
     text_age = F.when(F.col("dr_no") % 19 == 0, F.lit("n/a")).otherwise(F.col("age").cast("string"))
     hits = inc.filter(fn.contains_any(F.col("crime"), [fx.CRIME_WORD]))
     return (hits.select(fn.band_safe(text_age).alias("age_group"))
             .groupBy("age_group").agg(F.count(F.lit(1)).alias("count")))
 
 
+@query("age_bands_udf_text", AGE_TEXT_SQL)
+def q_age_bands_udf_text(spark, sf):
+    inc = fx.incidents_alone(spark, sf)
+    text_age = F.when(F.col("dr_no") % 19 == 0, F.lit("n/a")).otherwise(F.col("age").cast("string"))
+    hits = inc.filter(fn.contains_any(F.col("crime"), [fx.CRIME_WORD]))
+    return (hits.select(fn.band_udf()(text_age).alias("age_group"))
+            .groupBy("age_group").agg(F.count(F.lit(1)).alias("count")))
+
+
 def _incident_csv_lines(spark, sf) -> tuple[DataFrame, str]:
     """The incidents as raw CSV text lines: one folder per era, each with its
     own header line; the ``premise`` field holds a quoted comma."""
@@ -203,20 +215,20 @@ def q_distinct_rows(spark, sf):
 @query("closed_flag", with_ctes(["incidents"], f"""
 SELECT dr_no, status, CASE WHEN status NOT IN ({OPEN}) THEN 1 ELSE 0 END AS closed FROM incidents"""))
 def q_closed_flag(spark, sf):
-    inc = fx.incidents(spark, sf)
+    inc = fx.incidents_alone(spark, sf)
     return inc.select("dr_no", "status", flag_not_in("status", fx.OPEN_STATUSES).alias("closed"))
 
 
 @query("parse_year", with_ctes(["incidents"], f"""
 SELECT dr_no, date_occ, {YEAR_SQL} AS year FROM incidents"""))
 def q_parse_year(spark, sf):
-    return fx.incidents(spark, sf).select("dr_no", "date_occ", fn.parse_year("date_occ").alias("year"))
+    return fx.incidents_alone(spark, sf).select("dr_no", "date_occ", fn.parse_year("date_occ").alias("year"))
 
 
 @query("parse_year_text", with_ctes(["incidents"], f"""
 SELECT dr_no, date_occ, {YEAR_TEXT_SQL} AS year FROM incidents"""))
 def q_parse_year_text(spark, sf):
-    return fx.incidents(spark, sf).select("dr_no", "date_occ", fn.parse_year_text("date_occ").alias("year"))
+    return fx.incidents_alone(spark, sf).select("dr_no", "date_occ", fn.parse_year_text("date_occ").alias("year"))
 
 
 @query("format_report", with_ctes(["incidents"], f"""
@@ -259,6 +271,38 @@ def q_income_per_person_bounded(spark, sf):
     return analyses.income_per_person(fx.income(spark, sf), fx.census(spark, sf), "bounded")
 
 
+DIRTY_HH = "TRY_CAST(CASE WHEN CAST(zip AS BIGINT) % 13 = 0 THEN 'n/a' ELSE CAST(hh AS VARCHAR) END AS {})"
+
+
+def _dirty_census(spark, sf) -> DataFrame:
+    """Household sizes as text, one in thirteen not a number."""
+    return fx.census(spark, sf).select("zip", F.when(F.col("zip").cast("bigint") % 13 == 0, F.lit("n/a"))
+                                       .otherwise(F.col("hh").cast("string")).alias("hh"))
+
+
+def _dirty_sql(money: str, size: str, where: str) -> str:
+    return with_ctes(["income", "census"], f"""
+SELECT i.zip, {_pp('i.v', 'c.h')} AS income_per_person
+FROM (SELECT zip, {money} AS v FROM income) i
+JOIN (SELECT zip, {DIRTY_HH.format(size)} AS h FROM census) c ON i.zip = c.zip {where}""")
+
+
+@query("income_dirty_positive", _dirty_sql(CLEAN_FLOAT, "FLOAT", "WHERE i.v > 0 AND c.h > 0"))
+def q_income_dirty_positive(spark, sf):
+    return analyses.income_per_person(fx.income(spark, sf), _dirty_census(spark, sf), "positive")
+
+
+@query("income_dirty_none", _dirty_sql(CLEAN_FLOAT, "FLOAT", ""))
+def q_income_dirty_none(spark, sf):
+    return analyses.income_per_person(fx.income(spark, sf), _dirty_census(spark, sf), "none")
+
+
+@query("income_dirty_bounded", _dirty_sql("TRY_CAST(replace(replace(trim(inc), '$', ''), ',', '') AS DOUBLE)", "DOUBLE",
+                                          "WHERE i.v > 0 AND c.h > 0 AND c.h <= 15"))
+def q_income_dirty_bounded(spark, sf):
+    return analyses.income_per_person(fx.income(spark, sf), _dirty_census(spark, sf), "bounded")
+
+
 def _csv_copy(spark, df: DataFrame, name: str, header: bool = True) -> str:
     return write_csv(df, scratch_path(spark, name), header=header)
 
@@ -400,7 +444,7 @@ JOIN sites s ON s.sid = l.l_suppkey
 WHERE i.lat IS NOT NULL AND i.lon IS NOT NULL"""))
 def q_haversine(spark, sf):
     # distance from each incident to every site that serves its order
-    inc = fx.incidents(spark, sf).filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    inc = fx.incidents_alone(spark, sf).filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     serves = fx.read(spark, sf, "lineitem", "l_orderkey", "l_suppkey")
     st = fx.sites(spark, sf)
     j = inc.join(serves, inc.dr_no == serves.l_orderkey).join(st, st.sid == serves.l_suppkey)
@@ -413,36 +457,33 @@ def q_haversine(spark, sf):
 @query("filter_required", with_ctes(["incidents"], """
 SELECT dr_no, age, lat, lon FROM incidents WHERE age IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL"""))
 def q_filter_required(spark, sf):
-    return require(fx.incidents(spark, sf), ["age", "lat", "lon"]).select("dr_no", "age", "lat", "lon")
+    return require(fx.incidents_alone(spark, sf), ["age", "lat", "lon"]).select("dr_no", "age", "lat", "lon")
 
 
 @query("filter_regex", with_ctes(["incidents"], f"""
 SELECT dr_no, crime FROM incidents WHERE regexp_matches(crime, '{fx.CRIME_PATTERN}')"""))
 def q_filter_regex(spark, sf):
-    return fx.incidents(spark, sf).filter(fn.matches("crime", fx.CRIME_PATTERN)).select("dr_no", "crime")
+    return fx.incidents_alone(spark, sf).filter(fn.matches("crime", fx.CRIME_PATTERN)).select("dr_no", "crime")
 
 
 @query("filter_null_island", with_ctes(["incidents"], """
 SELECT dr_no, lat, lon FROM incidents WHERE NOT (lat = 0.0 AND lon = 0.0)"""))
 def q_filter_null_island(spark, sf):
-    return drop_null_island(fx.incidents(spark, sf)).select("dr_no", "lat", "lon")
+    return drop_null_island(fx.incidents_alone(spark, sf)).select("dr_no", "lat", "lon")
 
 
 @query("filter_null_island_nullsafe", with_ctes(["incidents"], """
 SELECT dr_no, lat, lon FROM incidents
 WHERE NOT (lat IS NOT DISTINCT FROM 0.0 AND lon IS NOT DISTINCT FROM 0.0)"""))
 def q_filter_null_island_nullsafe(spark, sf):
-    return drop_null_island(fx.incidents(spark, sf), null_safe=True).select("dr_no", "lat", "lon")
+    return drop_null_island(fx.incidents_alone(spark, sf), null_safe=True).select("dr_no", "lat", "lon")
 
 
 # ------------------------------------------------------- schema & sources ---
 
-@query("trim_names", with_ctes(["incidents_all"], f"""
-SELECT dr_no, area, status, crime, age, date_occ, lat, lon FROM incidents_all
-WHERE o_orderdate >= TIMESTAMP '{fx.ERA_SPLIT}'"""))
+@query("trim_names", with_ctes(["incidents"], "SELECT * FROM incidents"))
 def q_trim_names(spark, sf):
-    _, second = fx.incident_eras(spark, sf)
-    return trim_names(second)
+    return trim_names(fx.padded(fx.incidents(spark, sf)))
 
 
 @query("union_eras", with_ctes(["incidents"], "SELECT * FROM incidents"))
@@ -465,6 +506,22 @@ def q_scan_csv(spark, sf):
     return read_csv(spark, path, schema=schemas.INCIDENTS)
 
 
+@query("scan_csv_by_name", with_ctes(["incidents"], "SELECT * FROM incidents"))
+def q_scan_csv_by_name(spark, sf):
+    # the file's columns are in another order, padded, and among others
+    inc = fx.incidents(spark, sf)
+    other = inc.select(*reversed(inc.columns), F.lit("x").alias("remark"))
+    path = _csv_copy(spark, fx.padded(other), "incidents-reordered-csv")
+    return read_csv(spark, path, schema=schemas.INCIDENTS)
+
+
+@query("scan_csv_inferred", with_ctes(["census"], """
+SELECT CAST(zip AS INTEGER) AS zip, round(CAST(hh AS DOUBLE), 1) AS hh FROM census"""))
+def q_scan_csv_inferred(spark, sf):
+    path = _csv_copy(spark, fx.census(spark, sf), "census-inferred-csv")
+    return read_csv(spark, path, infer=True)
+
+
 @query("code_dictionary", with_ctes(["code_lines"], """
 SELECT code, description FROM (
   SELECT TRY_CAST(trim(CASE WHEN instr(value, ' ') > 0 THEN substr(value, 1, instr(value, ' ') - 1)
@@ -479,13 +536,13 @@ def q_code_dictionary(spark, sf):
 
 
 @query("ingest_status", with_ctes(["incidents", "census", "income", "code_lines"], """
-SELECT 'incidents' AS source, (SELECT count(*) FROM incidents) AS rows, true AS ok, CAST(NULL AS VARCHAR) AS error
-UNION ALL SELECT 'census', (SELECT count(*) FROM census), true, NULL
-UNION ALL SELECT 'income', (SELECT count(*) FROM income), true, NULL
+SELECT 'incidents' AS source, (SELECT count(*) FROM incidents) AS rows, true AS ok, CAST(NULL AS VARCHAR) AS error, false AS told
+UNION ALL SELECT 'census', (SELECT count(*) FROM census), true, NULL, false
+UNION ALL SELECT 'income', (SELECT count(*) FROM income), true, NULL, false
 UNION ALL SELECT 'code_dictionary', (SELECT count(*) FROM code_lines WHERE value <> ''
      AND TRY_CAST(trim(CASE WHEN instr(value, ' ') > 0 THEN substr(value, 1, instr(value, ' ') - 1)
-                       ELSE value END) AS INTEGER) IS NOT NULL), true, NULL
-UNION ALL SELECT 'stations', NULL, false, 'PATH_NOT_FOUND'"""))
+                       ELSE value END) AS INTEGER) IS NOT NULL), true, NULL, false
+UNION ALL SELECT 'stations', NULL, false, 'PATH_NOT_FOUND', true"""))
 def q_ingest_status(spark, sf):
     raw = scratch_path(spark, "raw")
     write_csv(fx.incidents(spark, sf), f"{raw}/incidents")
@@ -499,7 +556,10 @@ def q_ingest_status(spark, sf):
         Source("code_dictionary", f"{raw}/code_lines", "text", transform=code_dictionary),
         Source("stations", f"{raw}/missing_stations", "csv", schemas.SITES),
     ]
-    return ingest(spark, catalogue, scratch_path(spark, "parquet"))
+    status = ingest(spark, catalogue, scratch_path(spark, "parquet"))
+    # the message names this run's folder, so only its presence can be compared
+    told = F.coalesce(F.col("message").contains("missing_stations"), F.lit(False))
+    return status.select("source", "rows", "ok", "error", told.alias("told"))
 
 
 # -------------------------------------------------------------- sinks -------
@@ -512,7 +572,7 @@ def q_sink_parquet(spark, sf):
 
 @query("sink_csv", AGE_BANDS_SQL)
 def q_sink_csv(spark, sf):
-    bands = analyses.band_counts(fx.incidents(spark, sf), "age", "crime", fx.CRIME_PATTERN)
+    bands = analyses.band_counts(fx.incidents_alone(spark, sf), "age", "crime", fx.CRIME_PATTERN)
     # the band table has at most four rows: one file is fine here
     path = write_csv(bands, scratch_path(spark, "age-bands-csv"), single_file=True)
     return read_csv(spark, path, schema="age_group string, count bigint")
@@ -541,11 +601,23 @@ def q_sink_text(spark, sf):
 
 # ------------------------------------------------------------ sampling ------
 
-@query("sample_rows", None)
+@query("sample_rows", with_ctes(["incidents"], f"""
+SELECT dr_no, status, crime FROM incidents
+WHERE substr(md5(CAST(dr_no AS VARCHAR)), 1, 8) < '{int(0.05 * 2 ** 32):08x}'"""))
 def q_sample_rows(spark, sf):
-    # Bernoulli sample of the incidents; which rows are drawn depends on the
-    # partitioning, so there is no SQL twin (rows-only check)
-    return fx.incidents(spark, sf).sample(withReplacement=False, fraction=0.05, seed=42)
+    return sample_by_key(fx.incidents_alone(spark, sf), "dr_no", 0.05).select("dr_no", "status", "crime")
+
+
+@query("topk_rate_sampled", with_ctes(["incidents"], f"""
+, agg AS (SELECT year, area, count(*) AS total, sum(closed) AS closed FROM (
+    {Q2_BASE} AND substr(md5(CAST(dr_no AS VARCHAR)), 1, 8) < '{int(0.3 * 2 ** 32):08x}') b GROUP BY year, area)
+SELECT * FROM (
+  SELECT year, area, CAST(closed AS DOUBLE) / total * 100 AS closed_case_rate,
+         CAST(dense_rank() OVER (PARTITION BY year ORDER BY CAST(closed AS DOUBLE) / total * 100 DESC) AS INTEGER) AS rank
+  FROM agg) r
+WHERE rank <= 3"""))
+def q_topk_rate_sampled(spark, sf):
+    return analyses.topk_rate(fx.incidents(spark, sf), "date_occ", "area", "status", fx.OPEN_STATUSES, sample=0.3)
 
 
 def queries() -> dict[str, QueryFn]:

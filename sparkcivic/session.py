@@ -24,11 +24,19 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "sparkcivic",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = None, app: str = "sparkcivic",
+                  shuffle_partitions: int | None = None, checkpoint_dir: str | None = None,
+                  extra: dict | None = None) -> SparkSession:
+    """A session with our settings. Master, partition count and shared folder
+    are those given at submit time unless the caller names others."""
+    builder = SparkSession.builder.appName(app)
+    if master is not None:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if checkpoint_dir is not None:
+        conf["spark.checkpoint.dir"] = checkpoint_dir
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -41,12 +49,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the deployment (a distributed file
-    system path every executor can reach). Only when it is unset (local runs,
-    tests) do we create one of our own and register it.
+    system path every executor can reach); it is an error if it is not. Only
+    when the master is local do we create a folder of our own and register it.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="sparkcivic-ckpt-")
         sc.setCheckpointDir(path)
     elif not sc.getCheckpointDir():

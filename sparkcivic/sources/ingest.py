@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -16,6 +17,7 @@ STATUS_SCHEMA = StructType([
     StructField("rows", LongType(), True),
     StructField("ok", BooleanType(), False),
     StructField("error", StringType(), True),
+    StructField("message", StringType(), True),
 ])
 
 
@@ -48,11 +50,17 @@ def _error_name(exc: Exception) -> str:
     return name or type(exc).__name__
 
 
+def _error_message(exc: Exception) -> str:
+    """First line of the message, without the name of its condition."""
+    lines = str(exc).strip().splitlines()
+    return re.sub(r"^\[[A-Z0-9_.]+\] ", "", lines[0]) if lines else ""
+
+
 def ingest(spark: SparkSession, catalogue: list[Source], out_root: str) -> DataFrame:
     """Write every source to ``out_root/<name>`` as Parquet.
 
     A failing source is reported and the others continue. Returns one status
-    row per source: ``source, rows, ok, error`` (row counts come from the
+    row per source: ``source, rows, ok, error, message`` (row counts come from the
     written Parquet footers, so no source is read twice).
     """
     sep = "" if out_root.endswith("/") else "/"
@@ -63,7 +71,7 @@ def ingest(spark: SparkSession, catalogue: list[Source], out_root: str) -> DataF
             if src.transform is not None:
                 df = src.transform(df)
             out = write_parquet(df, f"{out_root}{sep}{src.name}")
-            status.append((src.name, spark.read.parquet(out).count(), True, None))
+            status.append((src.name, spark.read.parquet(out).count(), True, None, None))
         except Exception as exc:  # one bad source must not stop the batch
-            status.append((src.name, None, False, _error_name(exc)))
+            status.append((src.name, None, False, _error_name(exc), _error_message(exc)))
     return spark.createDataFrame(status, STATUS_SCHEMA)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def _paths(paths) -> list[str]:
@@ -24,6 +25,11 @@ def read_csv(spark: SparkSession, paths, schema: StructType | str | None = None,
              sep: str = ",", mode: str = "PERMISSIVE") -> DataFrame:
     """Delimited text with a declared schema (inference only when ``infer``).
 
+    With a header, declared columns are found by their (trimmed) names, in any
+    order and among others; a missing one is an error, and so is a file of the
+    same path whose header differs. Several paths may differ from each other.
+    Without a header, the schema is bound by position.
+
     Quotes inside quoted fields are escaped by doubling (``escape='"'``).
     ``multi_line=True`` accepts newlines inside quoted fields but makes every
     file a single split, so it is off by default: at scale a file must be
@@ -31,11 +37,25 @@ def read_csv(spark: SparkSession, paths, schema: StructType | str | None = None,
     """
     reader = (spark.read.option("header", header).option("sep", sep).option("escape", '"')
               .option("multiLine", multi_line).option("mode", mode))
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif infer:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(_paths(paths))
+    if schema is None:
+        return reader.option("inferSchema", infer).csv(_paths(paths))
+    if not header:
+        return reader.schema(schema).csv(_paths(paths))
+    want = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    frames = [_by_header(reader, p, want) for p in _paths(paths)]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def _by_header(reader, path: str, want: StructType) -> DataFrame:
+    names = reader.csv(path).columns  # reads one line
+    trimmed = [n.strip() for n in names]
+    missing = [f.name for f in want.fields if f.name not in trimmed]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header")
+    types = {f.name: f.dataType for f in want.fields}
+    schema = StructType([StructField(n, types.get(t, StringType())) for n, t in zip(names, trimmed)])
+    df = reader.option("enforceSchema", False).schema(schema).csv(path)
+    return df.select([F.col(f"`{names[trimmed.index(f.name)]}`").alias(f.name) for f in want.fields])
 
 
 def read_text(spark: SparkSession, paths) -> DataFrame:

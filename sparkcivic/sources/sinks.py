@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 
 
 def _one(df: DataFrame, single_file: bool) -> DataFrame:
-    # one output file means one writing task: only for small, bounded results
-    return df.coalesce(1) if single_file else df
+    # one output file means one writing task: only for small, bounded results;
+    # an exchange keeps the upstream plan in its own tasks
+    return df.repartition(1) if single_file else df
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",

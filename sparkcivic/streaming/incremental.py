@@ -3,12 +3,14 @@
 The same lazy ``band_counts`` plan runs over a streaming file source: new
 Parquet files dropped into the source folder update the counts. State is
 kept by Spark's streaming aggregation under a checkpoint folder; every
-micro-batch rewrites the complete (small, bounded: one row per band) table.
+micro-batch writes the complete (small, bounded: one row per band) table to a
+folder of its own, so a batch that fails midway leaves the last one readable.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..plans import analyses
@@ -21,22 +23,28 @@ from ..sources.sinks import write_parquet
 def band_counts_stream(spark: SparkSession, source_dir: str, schema: StructType, out_dir: str,
                        checkpoint_dir: str, age: str = "age", text: str = "crime",
                        pattern: str = fx.CRIME_PATTERN, max_files_per_trigger: int | None = None):
-    """Start a streaming query that keeps ``out_dir`` equal to the band
-    counts over all files seen so far in ``source_dir``; returns the handle.
-    ``availableNow`` processes what is there and stops."""
+    """Start a streaming query that writes the band counts over all files seen
+    so far in ``source_dir`` to ``out_dir/epoch=<n>``; returns the handle. Read
+    them with :func:`latest`. ``availableNow`` processes what is there and stops."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
     counts = analyses.band_counts(stream, age, text, pattern)
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
+    def publish(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")  # a repeated epoch replaces itself
 
     return (counts.writeStream.outputMode("complete").foreachBatch(publish)
             .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
 
 
+def latest(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The newest complete table of a stream."""
+    rows = spark.read.parquet(out_dir)
+    return rows.where(F.col("epoch") == rows.agg(F.max("epoch")).scalar()).drop("epoch")
+
+
 @query("age_bands_stream", AGE_BANDS_SQL)
 def q_age_bands_stream(spark, sf):
     src = scratch_path(spark, "incident-stream")
@@ -49,4 +57,4 @@ def q_age_bands_stream(spark, sf):
     handle = band_counts_stream(spark, f"{src}/*", first.schema, out, scratch_path(spark, "band-stream-ckpt"),
                                 max_files_per_trigger=1)
     handle.awaitTermination()
-    return spark.read.parquet(out)
+    return latest(spark, out)

@@ -12,8 +12,8 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from sparkcivic.session import build_session
-    s = build_session(master="local[*]", shuffle_partitions=8)
+    s = build_session(master="local[*]", shuffle_partitions=8, checkpoint_dir=str(tmp_path_factory.mktemp("shared")))
     yield s
     s.stop()

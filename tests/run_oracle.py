@@ -12,7 +12,7 @@ import __spark_entry__ as entry  # noqa: E402
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 keys = sys.argv[2:]
-spark = build_session()
+spark = build_session(master="local[8]", shuffle_partitions=8)
 qs, sqls = entry.queries(), entry.oracle_sql()
 con = duck(sf)
 bad = 0

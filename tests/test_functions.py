@@ -99,3 +99,16 @@ def test_report_columns(spark):
 def test_haversine_null_stays_null(spark):
     df = spark.createDataFrame([(1.0, 1.0, None, None)], "a double, b double, c double, d double")
     assert df.select(fn.haversine_km("a", "b", "c", "d")).collect()[0][0] is None
+
+
+def test_band_udf_is_the_twin_on_odd_text(spark):
+    texts = ["12", " 12 ", "+5", "-3", "12.0", "1e1", "inf", "-inf", "nan", "9999999999", "9223372036854775807",
+             "9223372036854775808", "", " ", None, "1 2", "0x1", "1_0", "\u0663", "007", "12\n", "--1", "+", "24", "25", "64", "65", "17", "18"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", fn.band_safe("t").alias("a"), fn.band_udf()("t").alias("b")).collect()
+    assert [(r.t, r.a) for r in rows] == [(r.t, r.b) for r in rows]
+    got = {r.t: r.a for r in rows}
+    assert got["12.0"] == got["inf"] == got["1e1"] == "Unknown" and got["9999999999"] == "Elderly"
+    nums = spark.createDataFrame([(1, 2.0), (None, None), (70, 70.5)], "i int, d double")
+    for c in ("i", "d"):
+        assert all(r[0] == r[1] for r in nums.select(fn.band_safe(c), fn.band_udf()(c)).collect())

@@ -141,3 +141,49 @@ def test_per_group_keeps_the_closest_location(spark):
     sts = spark.createDataFrame([(7, 0.0, 0.1), (8, 5.0, 5.5)], "sid long, site_lat double, site_lon double")
     got = sorted((r.pid, r.sid) for r in nearest_sites(pts, sts, per="pid").collect())
     assert got == [(1, 7), (2, 8)]
+
+
+def test_finest_level_keeps_crowded_cells(spark):
+    """More sites than a cell may hold, centimetres apart, at the last level."""
+    rng = np.random.default_rng(5)
+    sts = [(j, 34.0 + 1e-9 * j, -118.0 + 1e-9 * (j % 10)) for j in range(100)] + [(900, 34.0 + 4e-7, -118.0)]
+    pts = [(1, 34.0, -118.0), (2, 34.0 + 5e-8, -118.0), (3, 34.0 + 3e-7, -118.0), (4, 33.0, -117.0)]
+    pts += [(10 + i, 34.0 + rng.random() * 4e-7, -118.0 + rng.random() * 1e-8) for i in range(20)]
+    want = brute(pts, sts)
+    for kw in ({}, {"start_bits": 30}, {"start_bits": 29}, {"start_bits": 99}, {"start_bits": 30, "max_cell_sites": 1}):
+        got = run(spark, pts, sts, **kw)
+        for pid, (d, _) in want.items():
+            assert got[pid][0] == pytest.approx(d, rel=1e-6, abs=1e-9), (kw, pid)
+
+
+def test_null_group_and_infinite_coordinates(spark):
+    inf = float("inf")
+    pts = [(None, 34.0, -118.0), (None, 36.0, -118.0), (1, 34.0, -118.0), (2, 34.0, inf), (3, 34.0, -inf), (4, 34.0, float("nan"))]
+    sts = [(1, 34.0, -118.1), (2, 34.0, inf), (3, float("nan"), 1.0), (4, inf, 1.0), (5, -33.0, 100.0)]
+    p = spark.createDataFrame(pts, "pid long, lat double, lon double")
+    s = spark.createDataFrame(sts, "sid long, site_lat double, site_lon double")
+    got = [(r.pid, r.lat, r.sid) for r in nearest_sites(p, s, per="pid").collect()]
+    assert sorted(got, key=str) == [(1, 34.0, 1), (None, 34.0, 1)]
+
+
+def test_one_outlier_adds_few_jobs(spark):
+    rng = np.random.default_rng(9)
+    pts = [(i, 33.7 + rng.random() * 0.6, -118.7 + rng.random() * 0.6) for i in range(500)]
+    sts = [(j, 33.7 + rng.random() * 0.6, -118.7 + rng.random() * 0.6) for j in range(1000)]
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(points):
+        spark.sparkContext.setJobGroup(f"n{len(points)}", "nearest")
+        check(spark, points, sts)
+        n = len(tracker.getJobIdsForGroup(f"n{len(points)}"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return n
+    assert jobs(pts + [(999, -45.0, 170.0)]) <= jobs(pts) + 12
+
+
+def test_ranks_are_pruned_before_the_shuffle(spark):
+    p = spark.createDataFrame([(1, 34.0, -118.0), (1, 34.1, -118.0)], "pid long, lat double, lon double")
+    s = spark.createDataFrame([(1, 34.0, -118.1)], "sid long, site_lat double, site_lon double")
+    plan = nearest_sites(p, s, per="pid")._jdf.queryExecution().executedPlan().toString()
+    top = plan[:plan.index("Exchange hashpartitioning(pid")]
+    assert "WindowGroupLimit" in top and "WindowGroupLimit" in plan[len(top):]

@@ -7,8 +7,11 @@ import __spark_entry__ as entry
 from conftest import SF001
 from oracle_compare import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from sparkcivic.operators import sample_by_key, sample_rows
+from sparkcivic.plans import queries
+
+QUERIES = queries.queries()
+ORACLE = queries.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,8 +19,8 @@ def con():
     return duck(SF001)
 
 
-def test_every_query_has_an_oracle_or_is_a_sample():
-    assert set(QUERIES) - set(ORACLE) == {"sample_rows"}
+def test_every_query_has_an_oracle_and_is_registered():
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
@@ -32,6 +35,25 @@ def test_sample_rows_is_a_subset(spark):
     assert 0 < n < total
 
 
+def test_bernoulli_sample_is_a_subset(spark):
+    df = spark.range(2000)
+    got = [r.id for r in sample_rows(df, 0.1).collect()]
+    assert 0 < len(got) < 500 and len(set(got)) == len(got)
+
+
+def test_key_sample_does_not_depend_on_partitions(spark):
+    df = spark.range(5000).selectExpr("IF(id = 7, NULL, id) AS k")
+    a, b = ({r.k for r in sample_by_key(d, "k", 0.2).collect()} for d in (df, df.repartition(7)))
+    assert a == b and 800 < len(a) < 1200 and None not in a
+    assert sample_by_key(df, "k", 0.0).count() == 0 and sample_by_key(df, "k", 1.0).count() == 4999
+    assert sample_by_key(df, "k", None).count() == 5000
+
+
+@pytest.mark.parametrize("key", ["parse_year", "filter_regex", "closed_flag", "age_bands"])
+def test_no_join_where_the_area_is_not_used(spark, key):
+    assert "Join" not in QUERIES[key](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["year", "area", "closed_case_rate", "rank"]
