@@ -7,8 +7,9 @@ menus, forms, hidden parts, blocks named as adverts, notices, comments and so
 on) is set aside by tag, role and name. The text-to-tag ratio of the other
 lines is smoothed with a Gaussian over neighbouring lines, and lines above a
 threshold are clustered into runs. The runs then select the content region:
-an article or main element if there is one, else the smallest container that
-holds most of their text. The region's lines are returned whole, so a short
+an article or main element if there is one, else the innermost container that
+is named as content and holds half of their text, else the smallest container
+that holds most of it. The region's lines are returned whole, so a short
 paragraph inside the article is not lost to its low ratio.
 
 Each page is treated on its own in Arrow batches; nothing is shuffled.
@@ -52,17 +53,19 @@ disqus share sharing social related recommended recommendations trending paginat
 searchbox disclaimer copyright skip hidden visuallyhidden""".split())
 PAGE_NAMES = frozenset("header".split())  # outside the article only
 COMMENTS = frozenset("comment comments commentlist reply replies respond discussion disqus".split())
+CONTENT_NAMES = frozenset("content article post entry story main maincontent".split())
 ARTICLE, MAIN = "article", "main"
-SIGMA, THRESHOLD, HOLDS = 1.0, 0.5, 0.6  # smoothing in lines; share of the mean ratio; share of text the region must hold
+SIGMA, THRESHOLD = 1.0, 0.5  # smoothing in lines; share of the mean ratio
+HOLDS, NAMED_HOLDS = 0.6, 0.5  # share of the text that the region must hold; that a named one must hold
 SPACE = re.compile(r"\s+")
 NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "out", "silent", "kind")
+    __slots__ = ("tag", "parent", "depth", "out", "silent", "kind", "named")
 
-    def __init__(self, tag, parent, out, silent, kind):
-        self.tag, self.parent, self.out, self.silent, self.kind = tag, parent, out, silent, kind
+    def __init__(self, tag, parent, out, silent, kind, named=False):
+        self.tag, self.parent, self.out, self.silent, self.kind, self.named = tag, parent, out, silent, kind, named
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -119,7 +122,7 @@ class Lines(HTMLParser):
             out = bool(names & (COMMENTS if kind else NAMES))
         if not out and not self._inside(up) and (tag == "header" or tag in BLOCKS and not kind and names & PAGE_NAMES and tag not in ("html", "body")):
             out = True
-        self.at = _Element(tag, up, out, tag in NO_TEXT, kind)
+        self.at = _Element(tag, up, out, tag in NO_TEXT, kind, tag in BLOCKS and bool(names & CONTENT_NAMES))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -191,8 +194,9 @@ def extract(html: str | None) -> str:
         tops = {e for e in held if e.kind == kind and not _under(e, kind)}
         if tops and sum(held[e] for e in tops) > 0:
             return _text(lines, tops)
-    region = max((e for e in held if held[e] >= HOLDS * total and e.tag not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6")
-                  and (e.tag in BLOCKS or e.parent is None)), key=lambda e: e.depth)
+    holders = [e for e in held if e.tag not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6") and (e.tag in BLOCKS or e.parent is None)]
+    region = max((e for e in holders if e.named and e.tag != "body" and held[e] >= NAMED_HOLDS * total), key=lambda e: e.depth, default=None)
+    region = region or max((e for e in holders if held[e] >= HOLDS * total), key=lambda e: e.depth)
     inside = [k for k, line in enumerate(lines) if _within(line[3], {region})]
     return "\n\n".join(lines[k][0] for k in inside if not _menu(lines[k]))
 

@@ -30,6 +30,19 @@ def test_cases(html, text):
     assert h.extract(html) == text
 
 
+def test_named_content_beside_a_longer_list():
+    page = """<body><div id="post-1" class="entry-content"><h2>Head</h2><p>Some words of the article that is short.</p>
+<p>Tiny.</p></div><div class="x"><p>Another block, which nothing names</p></div><table><tr><td>cell</td></tr></table></body>"""
+    assert h.extract(page) == "Head\n\nSome words of the article that is short.\n\nTiny."
+
+
+def test_comments_and_headers_of_other_layouts():
+    page = """<header><h1>Site</h1></header><main><h1>T</h1><p>Text of the article, long enough to count.</p>
+<section id="comments"><ol class="commentlist"><li><p>nice</p></li></ol></section>
+<div class="cookieNotice">ok?</div><div class="page_content"><p>More text</p></div></main><div role="contentinfo">imprint</div>"""
+    assert h.extract(page) == "T\n\nText of the article, long enough to count.\n\nMore text"
+
+
 def test_smoothing_keeps_a_constant():
     import numpy as np
     assert np.allclose(h.smoothed(np.full(9, 3.0)), 3.0)
