@@ -35,5 +35,3 @@ SITES = _s(("sid", LongType()), ("division", StringType()), ("site_lat", FloatTy
            ("site_lon", FloatType()))
 CENSUS = _s(("zip", StringType()), ("hh", FloatType()))
 INCOME = _s(("zip", StringType()), ("inc", StringType()))
-CODE_DICTIONARY = _s(("code", IntegerType()), ("description", StringType()))
-LINES = _s(("value", StringType()))
