@@ -11,13 +11,17 @@ links' components are returned, with no link between different texts lost:
    row's first ``n - ceil(t n) + 1`` entries enter the product, as two sets
    that link must share one of them.
 3. Near copies are contracted: rows that agree in a band of min-hashes are
-   checked against the least row of that band, and checked links make groups.
-4. ``overlaps``: the product itself. Entries are dealt into column blocks by
-   n-gram hash; within a block equal n-grams meet, pairs of one group or of
-   incompatible sizes are left out, and the overlaps are added up over the
-   blocks. A column that is expected to exceed ``COLUMN`` rows is cut into
-   tiles of row blocks, so that no task holds all of it. Pairs whose overlap
-   is below the bound that their sizes demand are discarded.
+   checked against the row of that band whose n-grams are the commonest, the
+   likely original, and checked links make groups.
+4. ``live_entries`` deals the entries into column blocks by n-gram hash and
+   drops the columns that hold rows of one group only. What a row loses there
+   no row of another group has, which bounds its overlap with any of them.
+   ``overlaps`` is the product of what is left: within a block equal n-grams
+   meet; pairs of one group, of incompatible sizes or beyond that bound are
+   left out, and the overlaps are added up over the blocks. Pairs below the
+   overlap that their sizes demand are discarded. A column that is expected to
+   exceed ``COLUMN`` rows is cut into tiles of row blocks, so that no task
+   holds all of it.
 5. ``verified``: the exact overlap of the sets of the pairs that are left.
 
 N-grams are 64-bit hashes. Histogram and row count are all that reaches the
@@ -55,7 +59,7 @@ WIDTH = 5
 SIMILAR = (4, 5)  # least similarity as a fraction
 BUCKET_BITS, HISTOGRAM_PARTS = 20, 128
 BANDS, BAND_ROWS = 4, 2
-BLOCK = 1_000_000  # entries that one column block is made for
+BLOCK = 500_000  # entries that one column block is made for
 COLUMN = 500_000  # rows of one column that one tile holds
 FLUSH = 2_000_000  # entries that a dealing task gathers before it writes
 BROADCAST_ROWS = 200_000
@@ -179,7 +183,9 @@ def _prefix_length(n):
 
 def classes(docs: DataFrame, counts) -> DataFrame:
     """One row per distinct set: ``id`` (least document), ``n, d1, d2``,
-    ``prefix`` (its rarest n-grams) and ``bands`` (keys of min-hash bands)."""
+    ``prefix`` (its rarest n-grams), ``last_count, last_gram`` (where its prefix
+    ends in the order), ``common`` (how common its n-grams are on average) and
+    ``bands`` (keys of min-hash bands)."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rare = counts.value
         for batch in batches:
@@ -193,12 +199,18 @@ def classes(docs: DataFrame, counts) -> DataFrame:
                 least = [np.minimum.reduceat(mix(flat ^ _PLACES[10 + j]), first) for j in range(BANDS * BAND_ROWS)]
                 bands = np.stack([mix(sum((m * _PLACES[30 + r] for r, m in enumerate(least[b * BAND_ROWS:(b + 1) * BAND_ROWS])),
                                           np.full(len(sets), b, dtype=np.uint64))) for b in range(BANDS)], axis=1)
-                prefix = [s[np.lexsort((s, rare[(s >> _U(64 - BUCKET_BITS)).astype(np.int64)]))[:_prefix_length(len(s))]] for s in sets]
+                often = [rare[(s >> _U(64 - BUCKET_BITS)).astype(np.int64)] for s in sets]
+                prefix = [s[np.lexsort((s, c))[:_prefix_length(len(s))]] for s, c in zip(sets, often)]
+                last = np.array([p[-1] for p in prefix], dtype=np.uint64)
                 yield pd.DataFrame({"id": np.array(ids, dtype=np.int64), "n": size, "d1": [_digest(s, 1) for s in sets],
                                     "d2": [_digest(s, 2) for s in sets], "prefix": [p.tobytes() for p in prefix],
-                                    "bands": list(bands.astype(np.int64))})
-    found = docs.mapInPandas(rows, "id long, n long, d1 long, d2 long, prefix binary, bands array<long>")
-    return found.groupBy("n", "d1", "d2").agg(F.min("id").alias("id"), F.first("prefix").alias("prefix"), F.first("bands").alias("bands"))
+                                    "last_count": rare[(last >> _U(64 - BUCKET_BITS)).astype(np.int64)].astype(np.int64),
+                                    "last_gram": (last ^ _U(1 << 63)).astype(np.int64),  # signed, in the same order
+                                    "common": [float(np.log1p(c).mean()) for c in often], "bands": list(bands.astype(np.int64))})
+    found = docs.mapInPandas(rows, "id long, n long, d1 long, d2 long, prefix binary, last_count long, last_gram long, "
+                                   "common double, bands array<long>")
+    same = ("prefix", "last_count", "last_gram", "common", "bands")  # equal sets have them all in common
+    return found.groupBy("n", "d1", "d2").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in same])
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -233,56 +245,44 @@ def verified(pairs: DataFrame, docs: DataFrame, rows: int) -> DataFrame:
 
 
 def contracted(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """Checked links ``a, b`` between rows and the least row of a band."""
-    keys = rows.select("id", "n", F.explode("bands").alias("band"))
-    heads = keys.groupBy("band").agg(F.min(F.struct("id", "n")).alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    """Checked links ``a, b`` between rows and the commonest row of a band."""
+    keys = rows.select("id", "n", "common", F.explode("bands").alias("band"))
+    heads = keys.groupBy("band").agg(F.max_by(F.struct("id", "n"), F.struct("common", -F.col("id"))).alias("head"),
+                                     F.count(F.lit(1)).alias("size")).where("size > 1")
     pairs = keys.join(heads, "band").where((F.col("id") != F.col("head.id")) & _compatible(F.col("n"), F.col("head.n")))
     pairs, seen = materialize(pairs.select(F.col("id").alias("a"), F.col("head.id").alias("b")).distinct(), "band-pairs",
                               {"rows": F.count(F.lit(1))})
     return verified(pairs, docs, seen["rows"])
 
 
-def _tiles(entries: int) -> int:
+def _blocks(entries: int) -> int:
     return max(1, -(-entries // BLOCK))
 
 
 def _dealt(blocks: int, counts, column: int):
-    """Entries of the matrix as packed rows for each tile of the product."""
+    """Entries of the matrix, packed for each column block."""
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rare, held, n = counts.value, [], 0
 
         def out() -> pd.DataFrame:
-            size = np.array([len(p) for _, _, _, p in held])
-            ids, group, sizes = (np.repeat(np.array([x[k] for x in held], dtype=np.int64), size) for k in range(3))
-            grams = np.concatenate([p for _, _, _, p in held])
-            block = (grams % _U(blocks)).astype(np.int64)
+            size = np.array([len(p) for _, _, p in held])
+            ids, groups = (np.repeat(np.array([x[k] for x in held], dtype=np.int64), size) for k in range(2))
+            grams = np.concatenate([p for _, _, p in held])
             cuts = -(-rare[(grams >> _U(64 - BUCKET_BITS)).astype(np.int64)].astype(np.int64) // column)
-            made = []
-
-            def add(where: np.ndarray, key: np.ndarray, side: np.ndarray) -> None:
-                order = np.argsort(key, kind="stable")
-                where, key, side = where[order], key[order], side[order]
-                edges = np.flatnonzero(np.diff(key, prepend=-1)).tolist() + [len(key)]
-                for a, b in zip(edges, edges[1:]):
-                    w = where[a:b]
-                    made.append((int(key[a]), grams[w].tobytes(), ids[w].tobytes(), group[w].tobytes(),
-                                 sizes[w].astype(np.int32).tobytes(), side[a:b].astype(np.int8).tobytes()))
-            plain = np.flatnonzero(cuts <= 1)
-            if len(plain):
-                add(plain, block[plain], np.zeros(len(plain), dtype=np.int8))
-            for k in np.unique(cuts[cuts > 1]).tolist():  # a large column: tiles of k by k row blocks
-                wide = np.flatnonzero(cuts == k)
-                row = (mix(ids[wide].astype(np.uint64)) % _U(k)).astype(np.int64)
-                for j in range(k):
-                    low, high = np.minimum(row, j), np.maximum(row, j)
-                    tile = mix((low * k + high).astype(np.uint64) ^ mix(grams[wide])) >> _U(2)
-                    # side: 0 all pairs, 1 and 2 only pairs across
-                    add(wide, tile.astype(np.int64) + blocks, np.where(row == j, 0, np.where(row == low, 1, 2)))
-            return pd.DataFrame(made, columns=["tile", "grams", "ids", "groups", "sizes", "sides"])
+            block = (grams % _U(blocks)).astype(np.int64)
+            wide = cuts > 1  # a large column: its rows go to as many blocks as it has parts
+            part = mix(ids[wide].astype(np.uint64)) % cuts[wide].astype(np.uint64)
+            block[wide] = blocks + (mix(part ^ mix(grams[wide])) >> _U(2)).astype(np.int64)
+            order = np.argsort(block, kind="stable")
+            edges = np.flatnonzero(np.diff(block[order], prepend=-1)).tolist() + [len(order)]
+            parts = [order[a:b] for a, b in zip(edges, edges[1:])]
+            return pd.DataFrame({"block": [int(block[w[0]]) for w in parts], "grams": [grams[w].tobytes() for w in parts],
+                                 "ids": [ids[w].tobytes() for w in parts], "groups": [groups[w].tobytes() for w in parts],
+                                 "cuts": [cuts[w].astype(np.int32).tobytes() for w in parts]})
         for batch in batches:
-            for i, g, s, p in zip(batch["id"].tolist(), batch["component"].tolist(), batch["n"].tolist(), batch["prefix"].tolist()):
-                held.append((i, g, s, np.frombuffer(p, dtype=np.uint64)))
-                n += len(held[-1][3])
+            for i, g, p in zip(batch["id"].tolist(), batch["component"].tolist(), batch["prefix"].tolist()):
+                held.append((i, g, np.frombuffer(p, dtype=np.uint64)))
+                n += len(held[-1][2])
                 if n >= FLUSH:
                     yield out()
                     held, n = [], 0
@@ -291,51 +291,93 @@ def _dealt(blocks: int, counts, column: int):
     return deal
 
 
-def product(grams, ids, groups, sizes, sides) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs of rows that meet in a column: ``a < b`` and their sizes, once for
-    each shared column. Left out: one group, incompatible sizes."""
+def _alive(g: pd.DataFrame) -> pd.DataFrame:
+    """Entries of columns with rows of two groups; of parts of a large column, all."""
+    kinds = {"grams": np.uint64, "ids": np.int64, "groups": np.int64, "cuts": np.int32}
+    grams, ids, groups, cuts = (np.frombuffer(b"".join(g[k]), dtype=t) for k, t in kinds.items())
+    order = np.argsort(grams, kind="stable")
+    grams, ids, groups, cuts = grams[order], ids[order], groups[order], cuts[order]
+    start = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+    mixed = np.minimum.reduceat(groups, start) != np.maximum.reduceat(groups, start)
+    keep = np.repeat(mixed, np.diff(np.append(start, len(grams)))) | (cuts > 1)
+    return pd.DataFrame({"gram": grams[keep].astype(np.int64), "id": ids[keep], "cut": np.maximum(cuts[keep], 1)})
+
+
+def live_entries(rows: DataFrame, entries: int, counts, column: int = COLUMN) -> DataFrame:
+    """``gram, id, cut``: entries whose column holds rows of several groups.
+    ``cut``: parts that the column is to be cut into."""
+    dealt = rows.select("id", "component", "prefix").mapInPandas(
+        _dealt(_blocks(entries), counts, column), "block long, grams binary, ids binary, groups binary, cuts binary")
+    return dealt.groupBy("block").applyInPandas(_alive, "gram long, id long, cut int")
+
+
+def product(gram, id, group, n, live, last_count, last_gram, side) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs of rows that meet in a column: ``a < b``, their sizes and a bound,
+    once for each shared column. Left out: pairs of one group, of incompatible
+    sizes, and those whose overlap is bounded below what they need. The bound
+    is what their overlap could be if nothing of this block were shared."""
     up, down = SIMILAR
-    order = np.lexsort((sizes, grams))
-    grams, ids, groups, sizes, sides = (x[order] for x in (grams, ids, groups, sizes, sides))
-    start = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, dtype=int)
-    length = np.diff(np.concatenate([start, [len(grams)]]))
-    mixed = np.minimum.reduceat(groups, start) != np.maximum.reduceat(groups, start) if len(start) else np.zeros(0, dtype=bool)
-    i = np.flatnonzero(np.repeat(mixed, length))
-    last = np.repeat(start + length, length)
-    step = 1
+    order = np.lexsort((n, gram))
+    gram, id, group, n, live, last_count, last_gram, side = (x[order] for x in (gram, id, group, n, live, last_count, last_gram, side))
+    start = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, dtype=int)
+    last = np.repeat(np.append(start[1:], len(gram)), np.diff(np.append(start, len(gram))))
+    most = n - (_prefix_length(n) - live)  # overlap at most, with a row of another group whose prefix ends later
+    _, which, here = np.unique(id, return_inverse=True, return_counts=True)
+    here = here[which.ravel()]  # entries of the row in this block
+    i, step = np.arange(len(gram)), 1
     while len(i):
         i = i[i + step < last[i]]
         j = i + step
-        fits = sizes[i] * down >= sizes[j] * up  # sizes ascend within a column: no later one fits either
+        fits = n[i] * down >= n[j] * up  # sizes ascend within a column: no later one fits either
         i, j = i[fits], j[fits]
-        meet = (groups[i] != groups[j]) & ((sides[i] == 0) | (sides[i] != sides[j]))
+        meet = (group[i] != group[j]) & ((side[i] == 0) | (side[i] != side[j]))
         a, b = i[meet], j[meet]
+        earlier = np.where((last_count[a] < last_count[b]) | ((last_count[a] == last_count[b]) & (last_gram[a] <= last_gram[b])), a, b)
+        enough = most[earlier] >= -(-(n[a] + n[b]) * up // (up + down))
+        a, b, earlier = a[enough], b[enough], earlier[enough]
         if len(a):
-            swap = ids[a] > ids[b]
+            swap = id[a] > id[b]
             a, b = np.where(swap, b, a), np.where(swap, a, b)
-            yield ids[a], ids[b], sizes[a], sizes[b]
+            yield id[a], id[b], n[a], n[b], most[earlier] - here[earlier]
         step += 1
 
 
+MET = ("gram", "id", "component", "n", "live", "last_count", "last_gram", "side")
+
+
 def _multiplied(g: pd.DataFrame) -> pd.DataFrame:
-    kinds = {"grams": np.uint64, "ids": np.int64, "groups": np.int64, "sizes": np.int32, "sides": np.int8}
-    got = list(product(*(np.frombuffer(b"".join(g[k]), dtype=t) for k, t in kinds.items())))
+    got = list(product(*(g[c].to_numpy(dtype=np.int64) for c in MET)))
     if not got:
         return pd.DataFrame({k: pd.Series(dtype="int64") for k in ("a", "b", "na", "nb", "o")})
-    a, b, na, nb = (np.concatenate(x).astype(np.int64) for x in zip(*got))
+    a, b, na, nb, rest = (np.concatenate(x) for x in zip(*got))
     order = np.lexsort((b, a))
-    a, b, na, nb = a[order], b[order], na[order], nb[order]
+    a, b, na, nb, rest = a[order], b[order], na[order], nb[order], rest[order]
     first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-    return pd.DataFrame({"a": a[first], "b": b[first], "na": na[first], "nb": nb[first], "o": np.diff(np.append(first, len(a)))})
+    o = np.diff(np.append(first, len(a)))
+    up, down = SIMILAR
+    keep = rest[first] + o >= -(-(na[first] + nb[first]) * up // (up + down))  # what this block did not share is lost
+    first, o = first[keep], o[keep]
+    return pd.DataFrame({"a": a[first], "b": b[first], "na": na[first], "nb": nb[first], "o": o})
 
 
-def overlaps(rows: DataFrame, entries: int, counts, column: int = COLUMN) -> DataFrame:
+def overlaps(rows: DataFrame, live: DataFrame, entries: int) -> DataFrame:
     """Pairs ``a, b`` of different groups whose overlap in the product reaches
-    what their sizes demand. ``rows``: ``id, n, prefix, component``."""
-    blocks = _tiles(entries)
-    dealt = rows.select("id", "component", "n", "prefix").mapInPandas(
-        _dealt(blocks, counts, column), "tile long, grams binary, ids binary, groups binary, sizes binary, sides binary")
-    part = dealt.groupBy("tile").applyInPandas(_multiplied, "a long, b long, na long, nb long, o long")
+    what their sizes demand. ``rows``: ``id, n, last_count, last_gram,
+    component``; ``entries``: the counted rows of ``live``."""
+    blocks = _blocks(entries)
+    size = live.groupBy("id").agg(F.count(F.lit(1)).alias("live"))
+    rows = rows.select("id", "component", "n", "last_count", "last_gram").join(size, "id")
+    met = live.join(rows, "id")
+    # one tile for a column, or all tiles that pair the row's part of it with another part
+    own = F.pmod(F.xxhash64("id"), F.col("cut")).cast("int")
+    tile = lambda j: F.struct(  # noqa: E731  side 0: all pairs, 1 and 2: only pairs across
+        F.xxhash64("gram", F.least(own, j), F.greatest(own, j)).alias("tile"),
+        F.when(own == j, 0).when(own < j, 1).otherwise(2).alias("side"))
+    one = F.array(F.struct(F.pmod("gram", F.lit(blocks)).alias("tile"), F.lit(0).alias("side")))
+    met = met.withColumn("at", F.explode(F.when(F.col("cut") == 1, one).otherwise(
+        F.transform(F.sequence(F.lit(0), F.col("cut") - 1), tile))))
+    part = met.select(F.col("at.tile").alias("tile"), F.col("at.side").alias("side"), *MET[:-1]).groupBy("tile").applyInPandas(
+        _multiplied, "a long, b long, na long, nb long, o long")
     whole = part.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
     need = _needed(F.col("na"), F.col("nb"))
     # what the entries outside the product could add is at most their number, for one of the two rows
@@ -358,7 +400,8 @@ def jaccard_components(df: DataFrame, doc: str = "doc_id", text: str = "text", c
     near = materialize(contracted(rows, docs), "near-links")
     groups = components(near, "a", "b")
     grouped = rows.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    pairs, found = materialize(overlaps(grouped, seen["entries"] or 0, counts, column), "pairs", {"rows": F.count(F.lit(1))})
+    live, kept = materialize(live_entries(grouped, seen["entries"] or 0, counts, column), "live", {"rows": F.count(F.lit(1))})
+    pairs, found = materialize(overlaps(grouped, live, kept["rows"]), "pairs", {"rows": F.count(F.lit(1))})
     links = verified(pairs, docs, found["rows"]).unionByName(near)
     whole = components(links, "a", "b")
     rows = rows.select("n", "d1", "d2", "id").join(whole, "id", "left")
