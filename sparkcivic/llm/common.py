@@ -22,6 +22,16 @@ def crc_fold(key: Column, folds: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % F.lit(folds)
 
 
+def id_text(c: Column) -> Column:
+    """A whole-number id as text. Pandas would read ids as floating point as
+    soon as one of them is NULL; :func:`whole_ids` gives them back."""
+    return c.cast("bigint").cast("string")
+
+
+def whole_ids(texts) -> list[int | None]:
+    return [None if t is None else int(t) for t in texts]
+
+
 def maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
     """Hints a broadcast only when the counted ``rows`` are within ``limit``;
     beyond it the join stays a shuffle join. The result is the same."""

@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import maybe_broadcast
+from .common import id_text, maybe_broadcast, whole_ids
 from .components import components
 
 WIDTH = 5
@@ -134,7 +134,7 @@ def _digest(s: np.ndarray, seed: int) -> int:
 
 
 def _runs(batch: pd.DataFrame) -> Iterator[tuple[list, list[np.ndarray]]]:
-    ids, texts = batch["id"].tolist(), [t or "" for t in batch["text"].tolist()]
+    ids, texts = whole_ids(batch["id"]), [t or "" for t in batch["text"].tolist()]
     a = n = 0
     for i, t in enumerate(texts):
         n += len(t)
@@ -164,7 +164,7 @@ def _added(g: pd.DataFrame) -> pd.DataFrame:
 
 def summaries(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """``id, n, d1, d2`` of every row (a written table) and the histogram."""
-    rows = docs.mapInPandas(_summarised, "id long, n long, d1 long, d2 long, part int, task int, counts binary")
+    rows = docs.select(id_text(F.col("id")).alias("id"), "text").mapInPandas(_summarised, "id long, n long, d1 long, d2 long, part int, task int, counts binary")
     rows = materialize(rows, "summaries")
     parts = rows.where("part is not null").select("part", "task", "counts")
     for _ in range(2):  # 256 tasks at a time, then what they gave
@@ -190,7 +190,7 @@ def classes(docs: DataFrame, counts) -> DataFrame:
         rare = counts.value
         for batch in batches:
             for ids, sets in _runs(batch):
-                kept = [(i, s) for i, s in zip(ids, sets) if len(s) and i is not None and i == i]
+                kept = [(i, s) for i, s in zip(ids, sets) if len(s) and i is not None]
                 if not kept:
                     continue
                 ids, sets = [i for i, _ in kept], [s for _, s in kept]
@@ -207,7 +207,7 @@ def classes(docs: DataFrame, counts) -> DataFrame:
                                     "last_count": rare[(last >> _U(64 - BUCKET_BITS)).astype(np.int64)].astype(np.int64),
                                     "last_gram": (last ^ _U(1 << 63)).astype(np.int64),  # signed, in the same order
                                     "common": [float(np.log1p(c).mean()) for c in often], "bands": list(bands.astype(np.int64))})
-    found = docs.mapInPandas(rows, "id long, n long, d1 long, d2 long, prefix binary, last_count long, last_gram long, "
+    found = docs.select(id_text(F.col("id")).alias("id"), "text").mapInPandas(rows, "id long, n long, d1 long, d2 long, prefix binary, last_count long, last_gram long, "
                                    "common double, bands array<long>")
     same = ("prefix", "last_count", "last_gram", "common", "bands")  # equal sets have them all in common
     return found.groupBy("n", "d1", "d2").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in same])
@@ -234,8 +234,9 @@ def _needed(a: Column, b: Column) -> Column:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, rows: int) -> DataFrame:
-    """Those of the pairs ``a, b`` whose sets link. Only texts of documents in
-    pairs are read into sets; ``rows``: the counted pairs."""
+    """Those of the pairs ``a, b`` whose sets link, repeated if their documents
+    are. Only texts of documents in pairs are read into sets; ``rows``: the
+    counted pairs."""
     ends = pairs.select("b").distinct()
     left = docs.join(maybe_broadcast(pairs, rows, BROADCAST_ROWS), F.col("id") == F.col("a")).select("a", "b", _sets("text").alias("x"))
     right = docs.join(maybe_broadcast(ends, rows, BROADCAST_ROWS), F.col("id") == F.col("b")).select("b", _sets("text").alias("y"))

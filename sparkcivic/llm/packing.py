@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import id_text, whole_ids
 
 CAPACITY, SEPARATOR = 2048, 0
 SHARD = 32_768  # pieces that one task packs
@@ -113,16 +114,18 @@ def cut_pieces(df: DataFrame, path: str, doc: str = "doc_id", text: str = "text"
             _WORKER[path] = Units(path)
         own = _WORKER[path]
         for batch in batches:
-            docs, texts, rows = batch["doc_id"].tolist(), [t or "" for t in batch["text"].tolist()], []
+            docs, texts, rows = whole_ids(batch["doc_id"]), [t or "" for t in batch["text"].tolist()], []
             for run in groups(texts):
                 for i, ids in zip(run, own.encode_batch([texts[i] for i in run])):
                     ids = np.append(ids, np.uint32(SEPARATOR)).astype("<u4", copy=False)
                     for k, s in enumerate(range(0, len(ids), capacity)):
                         part = ids[s:s + capacity]
                         rows.append((docs[i], k, s, len(part), zlib.crc32(part.tobytes())))
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype(
-                {"doc_id": "Int64", "piece": "int64", "start": "int64", "length": "int64", "ids_crc32": "int64"})
-    return df.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInPandas(cut, PIECES)
+            names = ["piece", "start", "length", "ids_crc32"]
+            out = pd.DataFrame([r[1:] for r in rows], columns=names, dtype="int64")
+            out.insert(0, "doc_id", pd.array([r[0] for r in rows], dtype="Int64"))
+            yield out
+    return df.select(id_text(F.col(doc)).alias("doc_id"), F.col(text).alias("text")).mapInPandas(cut, PIECES)
 
 
 class OpenBins:
@@ -180,11 +183,12 @@ def pack(pieces: DataFrame, rows: int, capacity: int = CAPACITY, shard: int = SH
     shards = -(-rows // shard) or 1
 
     def packed(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["doc_id", "piece", "start", "length", "ids_crc32"], kind="stable")
+        g = g.assign(doc_id=pd.array(whole_ids(g["doc_id"]), dtype="Int64")).sort_values(["doc_id", "piece", "start", "length", "ids_crc32"], kind="stable")
         bins, offsets = best_fit_decreasing(g["length"].to_numpy(), capacity)
         return g.assign(sequence_id=g["shard"].to_numpy() * (1 << 32) + bins, offset=offsets).drop(columns="shard")
 
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+    dealt = dealt.withColumn("doc_id", id_text(F.col("doc_id")))
     return dealt.groupBy("shard").applyInPandas(packed, PIECES + ", sequence_id long, offset long")
 
 

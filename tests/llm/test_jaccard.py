@@ -78,6 +78,12 @@ def test_chain_of_near_copies(spark):
     assert set(got.values()) == {89} and {c for _, c in brute(rows).values()} == {89}
 
 
+def test_large_ids_beside_a_null(spark):
+    big = 2 ** 62 + 1
+    df = docs(spark, [(big + 1, "a b c d e f"), (None, "x"), (big, "a b c d e f")]).coalesce(1)
+    assert {(r["id"], r["component"]) for r in jaccard.jaccard_components(df).collect()} == {(big + 1, big), (big, big), (None, None)}
+
+
 def test_edge_rows(spark):
     long = " ".join(f"x{i % 977}y{i % 13}" for i in range(60_000))
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (7, "a b c d e f"), (3, long), (2, long + " end"), (None, "a b c d e f"), (4, None)]

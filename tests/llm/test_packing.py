@@ -80,6 +80,9 @@ def test_edge_rows(spark):
     texts = dict(enumerate([None, "", *HARD, "word " * 30_000]))
     rows = packing.tokenize_and_pack(docs(spark, list(texts.items()), clash=True), PATH).collect()
     check(rows, texts)
+    big = 2 ** 62 + 1
+    ids = {r["doc_id"] for r in packing.tokenize_and_pack(docs(spark, [(big, "a"), (None, "b")]).coalesce(1), PATH).collect()}
+    assert ids == {big, None}  # exact beside a NULL
     twice = packing.tokenize_and_pack(docs(spark, [(1, "a"), (1, "a"), (None, "b")]), PATH).collect()
     assert len(twice) == 3 and len({(r["sequence_id"], r["offset"]) for r in twice}) == 3
     assert packing.tokenize_and_pack(docs(spark, ["a"]).limit(0), PATH).count() == 0
