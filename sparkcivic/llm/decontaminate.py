@@ -12,8 +12,8 @@ never shuffled:
    the documents that are left.
 
 Test windows are as many as the benchmark has words; counts and windows are
-broadcast only if their counted rows are within ``BROADCAST_ROWS`` and joined
-by shuffle otherwise. Postings of a frequent term spread over all tasks: the
+broadcast only if their counted rows, or the windows held in them, are within
+``BROADCAST_ROWS`` and joined by shuffle otherwise. Postings of a frequent term spread over all tasks: the
 first join deals by nothing but the documents' own partitions.
 
 Words are the maximal runs of a-z, 0-9 and non-ASCII characters after
@@ -51,14 +51,16 @@ def words(text: Column) -> Column:
 
 
 def test_windows(items: DataFrame, item: str = "item_id", text: str = "text", width: int = WINDOW) -> DataFrame:
-    """Distinct windows: ``wid, words`` and ``items``, the ids that hold it."""
+    """Distinct windows as a written table: ``wid, words``, ``phrase`` (the
+    words with blanks between them) and ``items``, the ids that hold it."""
     w = items.where(F.col(item).isNotNull()).select(F.col(item).alias("item"), words(ascii_lower(F.col(text))).alias("all"))
     w = w.where(F.size("all") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("all") - (width - 1)))
     w = w.select("item", "all", F.explode(starts).alias("s"))
     w = w.groupBy(F.slice("all", F.col("s"), width).alias("words")).agg(
         F.array_sort(F.collect_set("item")).alias("items"))
-    return w.select(F.sha2(F.array_join("words", " "), 256).alias("wid"), "words", "items")
+    w = w.select(F.monotonically_increasing_id().alias("wid"), "words", F.array_join("words", " ").alias("phrase"), "items")
+    return materialize(w, "windows")
 
 
 def term_counts(docs: DataFrame, windows: DataFrame, text: str = "text") -> DataFrame:
@@ -121,20 +123,21 @@ def contamination(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text:
     """One row per document row: the ``keep`` columns, ``_n_words`` and
     ``_hits``, an array of ``start, n, items`` for each window occurrence
     (these two replace columns of their names)."""
-    windows = materialize(test_windows(items, item, item_text, width), "windows")
+    windows = test_windows(items, item, item_text, width)
     planned = materialize(plan_windows(windows, term_counts(docs, windows, text)), "planned")
     found = phrase_candidates(build_index(docs, planned, doc, text), planned)
-    found = found.join(maybe_broadcast(planned.select("wid", "words", "items"), windows.count(), BROADCAST_ROWS), "wid")
-    found = materialize(found.groupBy("doc_id").agg(F.collect_set(F.struct("start", "words", "items")).alias("_found")),
-                        "candidates")
+    known = planned.select("wid", "phrase", F.size("words").alias("n"), "items")
+    found = found.join(maybe_broadcast(known, windows.count(), BROADCAST_ROWS), "wid").groupBy("doc_id").agg(
+        F.collect_set(F.struct("start", "n", "phrase", "items")).alias("_found"))
+    found, size = materialize(found, "candidates", {"windows": F.sum(F.size("_found"))})
     found = found.withColumnRenamed("doc_id", "_found_id")
     own = [F.col(c) for c in keep or [doc] if c not in ("_n_words", "_hits")]
     rows = docs.select(F.struct(*own).alias("_row"), F.col(doc).alias("_id"), F.col(text).alias("_text"))
-    rows = rows.join(maybe_broadcast(found, found.count(), BROADCAST_ROWS), F.col("_id") == F.col("_found_id"), "left")
+    rows = rows.join(maybe_broadcast(found, size["windows"] or 0, BROADCAST_ROWS), F.col("_id") == F.col("_found_id"), "left")
     lower = F.when(F.col("_found").isNotNull(), words(ascii_lower(F.col("_text"))))  # only where there are candidates
     rows = rows.withColumn("_n_words", F.size(words(F.col("_text"))).cast("bigint")).withColumn("_words", lower)
-    hits = F.filter("_found", lambda f: F.slice("_words", f["start"] + 1, F.size(f["words"])) == f["words"])
-    hits = F.transform(hits, lambda f: F.struct(f["start"].alias("start"), F.size(f["words"]).alias("n"), f["items"].alias("items")))
+    hits = F.filter("_found", lambda f: F.array_join(F.slice("_words", f["start"] + 1, f["n"]), " ") == f["phrase"])
+    hits = F.transform(hits, lambda f: F.struct(f["start"].alias("start"), f["n"].alias("n"), f["items"].alias("items")))
     return rows.withColumn("_hits", F.coalesce(hits, F.array().cast("array<struct<start:int,n:int,items:array<bigint>>>"))) \
         .select("_row.*", "_n_words", "_hits")
 
