@@ -27,7 +27,7 @@ BROADCAST_ROWS = 200_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return q_quality.scored(spark, docs.select(*COLUMNS), sf_dir).where("_score >= 0.5").select(*COLUMNS)
+    return q_quality.scored(spark, docs, sf_dir, COLUMNS).where("_score >= 0.5").select(*COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

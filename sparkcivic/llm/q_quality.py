@@ -14,10 +14,11 @@ SQL = None
 FOLDS, HELD_OUT = 3, 1
 
 
-def scored(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` with ``_score``; learned from the labelled rows of ``docs``
-    outside the held-out fold."""
-    rows = materialize(docs.withColumn("_stats", quality.document_statistics(F.col("text"))), "statistics")
+def scored(spark: SparkSession, docs: DataFrame, sf_dir: str, keep: list[str]) -> DataFrame:
+    """The ``keep`` columns of ``docs`` (``doc_id`` among them) and ``_score``;
+    learned from the labelled rows of ``docs`` outside the held-out fold. What
+    is kept is written once with the statistics, as both steps read them."""
+    rows = materialize(docs.select(*keep, quality.document_statistics(F.col("text")).alias("_stats")), "statistics")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_labelled"), F.col("quality").alias("_label"))
     learn = rows.where(crc_fold(F.col("doc_id"), FOLDS) != HELD_OUT).select("doc_id", "_stats")
     model = quality.fit(learn.join(labels, F.col("doc_id") == F.col("_labelled")), "_label")
@@ -25,6 +26,6 @@ def scored(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = scored(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), sf_dir)
+    rows = scored(spark, table(spark, sf_dir, "documents"), sf_dir, ["doc_id"])
     return rows.select("doc_id", F.coalesce(crc_fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
                        F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"))
