@@ -149,16 +149,22 @@ def _descend(opened: DataFrame, sites: DataFrame, b: int, max_cell_sites: int,
 
 def _start_bits(sites: DataFrame) -> tuple[int, int]:
     """Number of sites and the starting level, in one pass over the sites: the
-    finest probed level at which occupied cells still hold about
+    coarsest probed level at which occupied cells hold at most about
     ``_SITES_PER_CELL`` sites. Only occupied cells count, so a few far-away
     sites or points do not change the level of the rest."""
-    def occupied(b):
-        ci, cj = _cells(F.col("_slat"), F.col("_slon"), 360.0 / (1 << b))
-        return F.approx_count_distinct(F.struct(ci, cj)).alias(f"b{b}")
-    row = sites.agg(F.count(F.lit(1)).alias("n"), *[occupied(b) for b in _PROBED_BITS]).first()
+    finest = _PROBED_BITS[-1]
+    ci, cj = _cells(F.col("_slat"), F.col("_slon"), 360.0 / (1 << finest))
+
+    def occupied(b):  # coarser cells are prefixes of the finest
+        return F.approx_count_distinct(F.expr(f"shiftleft(shiftright(ci, {finest - b}), 32) + shiftright(cj, {finest - b})"), 0.1).alias(f"b{b}")
+    row = sites.select(ci.alias("ci"), cj.alias("cj")).agg(F.count(F.lit(1)).alias("n"), *map(occupied, _PROBED_BITS)).first()
     n = row["n"]
-    fits = [b for b in _PROBED_BITS if n and n / max(row[f"b{b}"], 1) >= _SITES_PER_CELL]
-    return n, max(fits, default=_PROBED_BITS[0])
+    per = {b: n / max(row[f"b{b}"], 1) for b in _PROBED_BITS}
+    level = next((b for b in _PROBED_BITS if per[b] <= _SITES_PER_CELL), finest)
+    # the level between two probed ones holds about their geometric mean
+    if level - 2 in per and (per[level] * per[level - 2]) ** 0.5 <= _SITES_PER_CELL:
+        level -= 1
+    return n, level
 
 
 def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EARTH_RADIUS_KM,
