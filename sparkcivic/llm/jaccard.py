@@ -241,8 +241,8 @@ def verified(pairs: DataFrame, docs: DataFrame, rows: int) -> DataFrame:
     left = docs.join(maybe_broadcast(pairs, rows, BROADCAST_ROWS), F.col("id") == F.col("a")).select("a", "b", _sets("text").alias("x"))
     right = docs.join(maybe_broadcast(ends, rows, BROADCAST_ROWS), F.col("id") == F.col("b")).select("b", _sets("text").alias("y"))
     up, down = SIMILAR
-    both = left.join(right, "b").withColumn("o", F.size(F.array_intersect("x", "y")))
-    return both.where(F.col("o") * (up + down) >= (F.size("x") + F.size("y")) * up).select("a", "b").distinct()
+    both = left.join(right, "b").withColumn("o", F.size(F.array_intersect("x", "y")))  # a hot b may be split
+    return both.where(F.col("o") * (up + down) >= (F.size("x") + F.size("y")) * up).select("a", "b")
 
 
 def contracted(rows: DataFrame, docs: DataFrame) -> DataFrame:
