@@ -61,7 +61,7 @@ BUCKET_BITS, HISTOGRAM_PARTS = 20, 128
 BANDS, BAND_ROWS = 4, 2
 BLOCK = 500_000  # entries that one column block is made for
 COLUMN = 500_000  # rows of one column that one tile holds
-FLUSH = 2_000_000  # entries that a dealing task gathers before it writes
+FLUSH = 500_000  # entries that a dealing task gathers before it writes
 BROADCAST_ROWS = 200_000
 RUN_CHARS, SLICE_BYTES = 1_000_000, 4_000_000
 
