@@ -7,10 +7,12 @@ menus, forms, hidden parts, blocks named as adverts, notices, comments and so
 on) is set aside by tag, role and name. The text-to-tag ratio of the other
 lines is smoothed with a Gaussian over neighbouring lines, and lines above a
 threshold are clustered into runs. The runs then select the content region:
-an article or main element if there is one, else the innermost container that
-is named as content and holds half of their text, else the smallest container
-that holds most of it. The region's lines are returned whole, so a short
-paragraph inside the article is not lost to its low ratio.
+the article elements, else the main element, if they hold most of the runs'
+text, else the innermost container that is named as content and holds half of
+it, else the smallest container that holds most of it. An article that is no
+more than a teaser beside the text is therefore never the region. The region's
+lines are returned whole, so a short paragraph inside the article is not lost
+to its low ratio.
 
 Each page is treated on its own in Arrow batches; nothing is shuffled.
 
@@ -114,12 +116,12 @@ class Lines(HTMLParser):
             return
         a, up = dict(attrs), self.at
         names, role = self._names(a), (a.get("role") or "").lower()
-        kind = ARTICLE if tag == ARTICLE or "articlebody" in (a.get("itemprop") or "").lower() else MAIN if tag == MAIN or role == MAIN else ""
+        kind = "" if names & (NAMES - COMMENTS) else ARTICLE if tag == ARTICLE or "articlebody" in (a.get("itemprop") or "").lower() else MAIN if tag == MAIN or role == MAIN else ""
         style = (a.get("style") or "").replace(" ", "").lower()
         out = (up.out or tag in NO_TEXT or tag in NO_CONTENT or role in ROLES or "hidden" in a
                or (a.get("aria-hidden") or "").lower() == "true" or "display:none" in style or "visibility:hidden" in style)
         if not out and tag not in ("html", "body") and tag in BLOCKS and names:
-            out = bool(names & (COMMENTS if kind else NAMES))
+            out = bool(names & (COMMENTS if kind or tag in (ARTICLE, MAIN) else NAMES))
         if not out and not self._inside(up) and (tag == "header" or tag in BLOCKS and not kind and names & PAGE_NAMES and tag not in ("html", "body")):
             out = True
         self.at = _Element(tag, up, out, tag in NO_TEXT, kind, tag in BLOCKS and bool(names & CONTENT_NAMES))
@@ -190,9 +192,9 @@ def extract(html: str | None) -> str:
             held[e] = held.get(e, 0.0) + w
             e = e.parent
     total = weight.sum()
-    for kind in (ARTICLE, MAIN):  # outermost elements of the kind; together they are the region
+    for kind in (ARTICLE, MAIN):  # outermost elements of the kind; together they may be the region
         tops = {e for e in held if e.kind == kind and not _under(e, kind)}
-        if tops and sum(held[e] for e in tops) > 0:
+        if tops and sum(held[e] for e in tops) >= HOLDS * total:
             return _text(lines, tops)
     holders = [e for e in held if e.tag not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6") and (e.tag in BLOCKS or e.parent is None)]
     region = max((e for e in holders if e.named and e.tag != "body" and held[e] >= NAMED_HOLDS * total), key=lambda e: e.depth, default=None)

@@ -43,6 +43,26 @@ def test_comments_and_headers_of_other_layouts():
     assert h.extract(page) == "T\n\nText of the article, long enough to count.\n\nMore text"
 
 
+STORY = "".join(f"<p>Paragraph {i} of the story, which is long enough for a cluster.</p>" for i in range(6))
+STORY_TEXT = "\n\n".join(f"Paragraph {i} of the story, which is long enough for a cluster." for i in range(6))
+
+
+@pytest.mark.parametrize("page", [
+    f"<main>{STORY}<article>%s</article></main>",
+    f"<main>{STORY}<article class='promo'>%s</article></main>",
+    f"<div class=content>{STORY}</div><div><article>%s</article></div>",
+    f"<div class=x>{STORY}</div><article><p>%s</p></article>",
+    f"<main><p>%s</p></main><div class=x>{STORY}</div>",
+])
+def test_a_teaser_in_an_article_is_not_the_region(page):
+    got = h.extract(page % "A teaser of something else.")
+    assert got in (STORY_TEXT, STORY_TEXT + "\n\nA teaser of something else.")
+
+
+def test_an_article_that_holds_most_text_is_the_region():
+    assert h.extract(f"<div class=content><p>Before the article.</p><article>{STORY}</article></div>") == STORY_TEXT
+
+
 def test_smoothing_keeps_a_constant():
     import numpy as np
     assert np.allclose(h.smoothed(np.full(9, 3.0)), 3.0)
