@@ -3,9 +3,10 @@
 One pass of the standard library's parser over a page gives its lines: the
 stretches of text between block-level tags, each with the number of tags met
 in it and the containers around it. What pages mark as no content (scripts,
-menus, forms, hidden parts, blocks named as adverts, notices, comments and so
-on) is set aside by tag, role and name. The text-to-tag ratio of the other
-lines is smoothed with a Gaussian over neighbouring lines, and lines above a
+menus, forms, hidden parts) is set aside by tag and role. Blocks named as
+adverts, notices, sidebars, comments and so on are judged by the text that they
+hold (see ``_kept``), as a layout may carry such a name too. The text-to-tag
+ratio of the other lines is smoothed with a Gaussian over neighbouring lines, and lines above a
 threshold are clustered into runs. The runs then select the content region:
 the article elements, else the main element, if they hold most of the runs'
 text, else the innermost container that is named as content and holds half of
@@ -46,7 +47,7 @@ NO_CONTENT = frozenset("nav footer aside form menu dialog fieldset".split())
 CLOSED_BY_BLOCK = frozenset(["p"])
 ROLES = frozenset("""navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog
 toolbar status tooltip tablist""".split())
-# Words in class and id names that mark a block as no part of the article.
+# Words in class and id names by which a block may be no part of the article.
 NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adbox adslot sponsor sponsored sponsors promo
 promotion promoted banner banners cookie cookies consent gdpr notice notices alert popup modal overlay lightbox toast
 newsletter subscribe subscription signup nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars
@@ -59,15 +60,19 @@ CONTENT_NAMES = frozenset("content article post entry story main maincontent".sp
 ARTICLE, MAIN = "article", "main"
 SIGMA, THRESHOLD = 1.0, 0.5  # smoothing in lines; share of the mean ratio
 HOLDS, NAMED_HOLDS = 0.6, 0.5  # share of the text that the region must hold; that a named one must hold
+SMALL, BODY_LINES = 0.2, 2  # share of the text that is no more than small; lines of a cluster that make a body of text
 SPACE = re.compile(r"\s+")
 NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "out", "silent", "kind", "named")
+    __slots__ = ("tag", "parent", "depth", "out", "silent", "kind", "named", "comments", "doubt", "said")
 
-    def __init__(self, tag, parent, out, silent, kind, named=False):
+    def __init__(self, tag, parent, out, silent, kind, named=False, doubted=False, comments=False):
         self.tag, self.parent, self.out, self.silent, self.kind, self.named = tag, parent, out, silent, kind, named
+        self.comments = comments
+        self.doubt = self if doubted else parent.doubt if parent else None  # the innermost block whose name is in NAMES
+        self.said = bool(kind or named or parent and parent.said)  # marked as content
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -116,15 +121,17 @@ class Lines(HTMLParser):
             return
         a, up = dict(attrs), self.at
         names, role = self._names(a), (a.get("role") or "").lower()
-        kind = "" if names & (NAMES - COMMENTS) else ARTICLE if tag == ARTICLE or "articlebody" in (a.get("itemprop") or "").lower() else MAIN if tag == MAIN or role == MAIN else ""
+        kind = ARTICLE if tag == ARTICLE or "articlebody" in (a.get("itemprop") or "").lower() else MAIN if tag == MAIN or role == MAIN else ""
         style = (a.get("style") or "").replace(" ", "").lower()
         out = (up.out or tag in NO_TEXT or tag in NO_CONTENT or role in ROLES or "hidden" in a
                or (a.get("aria-hidden") or "").lower() == "true" or "display:none" in style or "visibility:hidden" in style)
-        if not out and tag not in ("html", "body") and tag in BLOCKS and names:
-            out = bool(names & (COMMENTS if kind or tag in (ARTICLE, MAIN) else NAMES))
-        if not out and not self._inside(up) and (tag == "header" or tag in BLOCKS and not kind and names & PAGE_NAMES and tag not in ("html", "body")):
-            out = True
-        self.at = _Element(tag, up, out, tag in NO_TEXT, kind, tag in BLOCKS and bool(names & CONTENT_NAMES))
+        block = tag in BLOCKS and tag not in ("html", "body")
+        doubted = block and bool(names & NAMES)
+        if not out and not self._inside(up):
+            out = tag == "header"
+            doubted = doubted or block and not kind and bool(names & PAGE_NAMES)
+        self.at = _Element(tag, up, out, tag in NO_TEXT, kind, tag in BLOCKS and bool(names & CONTENT_NAMES),
+                           doubted, doubted and bool(names & COMMENTS))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -181,17 +188,14 @@ def extract(html: str | None) -> str:
     lines = p.lines
     if not lines:
         return ""
-    size = np.array([len(t) for t, *_ in lines], dtype=float)
-    ratio = np.array([max(0, len(t) - links) / max(1, tags) for t, tags, links, _ in lines])
-    dense = smoothed(ratio)
-    runs = dense >= THRESHOLD * dense.mean()  # the clusters of content lines
-    weight = np.where(runs, size, 0.0)
-    held: dict[_Element, float] = {}
-    for (_, _, _, e), w in zip(lines, weight):
-        while e is not None:
-            held[e] = held.get(e, 0.0) + w
-            e = e.parent
-    total = weight.sum()
+    weight = _weights(lines)
+    if any(e.doubt for *_, e in lines):
+        kept = _kept(lines, weight)
+        lines = [line for line in lines if line[3].doubt is None or line[3].doubt in kept]
+        if not lines:
+            return ""
+        weight = _weights(lines)
+    held, total = _held(lines, weight), weight.sum()
     for kind in (ARTICLE, MAIN):  # outermost elements of the kind; together they may be the region
         tops = {e for e in held if e.kind == kind and not _under(e, kind)}
         if tops and sum(held[e] for e in tops) >= HOLDS * total:
@@ -203,6 +207,76 @@ def extract(html: str | None) -> str:
     return "\n\n".join(lines[k][0] for k in inside if not _menu(lines[k]))
 
 
+def _weights(lines: list) -> np.ndarray:
+    """Text of the lines that are in a cluster of content lines, 0 for others."""
+    size = np.array([len(t) for t, *_ in lines], dtype=float)
+    ratio = np.array([max(0, len(t) - links) / max(1, tags) for t, tags, links, _ in lines])
+    dense = smoothed(ratio)
+    return np.where(dense >= THRESHOLD * dense.mean(), size, 0.0)
+
+
+def _held(lines: list, weight: np.ndarray) -> dict[_Element, float]:
+    held: dict[_Element, float] = {}
+    for (_, _, _, e), w in zip(lines, weight):
+        while e is not None:
+            held[e] = held.get(e, 0.0) + w
+            e = e.parent
+    return held
+
+
+def _kept(lines: list, weight: np.ndarray) -> set[_Element]:
+    """The blocks named as no content that are content all the same, judged
+    from the outermost inwards and by size. They are kept if they are around
+    the largest article (main), are a body of more than a small share, or hold
+    more than all text outside them while nothing there is marked as content.
+    If more than a small share is marked there, they must hold more than all
+    text outside, as a body or around the article. Comments must always hold
+    more, and go where content is marked."""
+    held, total = _held(lines, weight), weight.sum()
+    none: tuple = (0.0, 0.0, 0)
+    own: dict[_Element | None, tuple] = {}  # text, text marked as content and its lines, by the innermost such block
+    under: dict[_Element, tuple] = {}  # marked text, its lines and all clustered lines, with the blocks inside
+    for (_, _, _, e), w in zip(lines, weight):
+        d = e.doubt
+        text, marked, n = own.get(d, none)
+        own[d] = text + w, marked + w * e.said, n + e.said
+        while d is not None:
+            marked, n, body = under.get(d, none)
+            under[d] = marked + w * e.said, n + e.said, body + (w > 0)
+            d = d.parent.doubt
+    inner: dict[_Element | None, list[_Element]] = {}
+    for d in under:
+        inner.setdefault(d.parent.doubt, []).append(d)
+    around = set()
+    for kind in (ARTICLE, MAIN):
+        chief = max((e for e in held if e.kind == kind), key=held.get, default=None)
+        if chief is not None:
+            d = chief.doubt
+            while d is not None:
+                around.add(d)
+                d = d.parent.doubt
+            break
+    kept, level, out = set(), inner.get(None, []), own.get(None, none)
+    while level:
+        found, beside = [], out
+        for d in sorted(level, key=lambda d: (d in around, held[d]), reverse=True):
+            text, marked, n = beside
+            more, body = held[d] > text, under[d][2] >= BODY_LINES
+            if d.comments:
+                keep = more and marked <= SMALL * total
+            elif marked > SMALL * total:
+                keep = more and (body or d in around)
+            else:
+                keep = d in around or body and held[d] > SMALL * total or more and not n
+            if keep:
+                found.append(d)
+                beside = text + held[d], marked + under[d][0], n + under[d][1]
+        kept.update(found)
+        out = tuple(map(sum, zip(out, *(own.get(d, none) for d in found))))
+        level = [x for d in found for x in inner.get(d, [])]
+    return kept
+
+
 def _menu(line: tuple) -> bool:
     """Nothing but links."""
     return line[2] >= 0.9 * len(line[0]) and line[3].tag in ("li", "ul", "div", "td", "span", "a")

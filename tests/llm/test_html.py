@@ -59,6 +59,31 @@ def test_a_teaser_in_an_article_is_not_the_region(page):
     assert got in (STORY_TEXT, STORY_TEXT + "\n\nA teaser of something else.")
 
 
+@pytest.mark.parametrize("page", [
+    f'<div class="wrapper no-sidebar"><article>{STORY}</article></div>',
+    f'<div id="content" class="has-sidebar">{STORY}<div class="widget"><p>Popular this week</p></div></div>',
+    f'<div class="layout two-sidebars search"><div id="cookie-banner">We use cookies</div>{STORY}</div>',
+    f'<div class="page-header-layout"><div class="layout search"><main>{STORY}</main><div class="sidebar">More of it</div></div></div>',
+    f'<article class="post has-sidebar comments-open">{STORY}</article><div class="related"><article><p>Teaser</p></article></div>',
+    f'<div class="layout search">{STORY}</div><article>A teaser.</article>',
+    f'<article>{STORY}</article><div class="comments">' + "<p>I also think so, and so does everyone else here.</p>" * 20 + "</div>",
+    f'<div class="wrapper no-sidebar"><article>{STORY}</article><div class="ad">{"Buy this now. " * 20}</div></div>',
+    f'<main>{STORY}<div class="related"><article>A teaser of something else.</article></div></main>',
+])
+def test_names_of_layouts_drop_no_text(page):
+    assert h.extract(page) == STORY_TEXT
+
+
+def test_a_long_advert_beside_a_short_article_goes():
+    assert h.extract(f"<div class=ad>{'Buy this now. ' * 20}</div><article><h1>Head</h1><p>{'A short story. ' * 8}</p></article>") == (
+        "Head\n\n" + ("A short story. " * 8).strip())
+
+
+def test_nested_names():
+    deep = "<div class=comment>" * 2000 + "x" + "</div>" * 2000
+    assert h.extract(f"<article>{STORY}</article>{deep}") == STORY_TEXT
+
+
 def test_an_article_that_holds_most_text_is_the_region():
     assert h.extract(f"<div class=content><p>Before the article.</p><article>{STORY}</article></div>") == STORY_TEXT
 
