@@ -26,6 +26,30 @@ def test_values_change_within_their_format_and_back():
         assert [k for k, *_ in again] == [found[0][0]]  # still valid in its format
 
 
+FOLLOWED = ["+1 (826) 555-4081", "+1 499 555 6503", "+44 20 7946 0958", "+44 (0)20 7946 0958", "+999 20 7946 0958 12", "BE68 5390 0754 7034",
+            "ES91 2100 0418 4502 0005 1332", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "(415) 555-2671",
+            "4111 1111 1111 1111", "123-45-6789"]
+AFTER = ["2024", "12", "190.137.223.204", "10.0.0.1", "2001-02-03", "31.12.1999", "BIC", "I", "SWIFT AG", "ABCD 1234", "4111 1111 1111 1111",
+         "+1 (826) 555-4081", "x"]
+
+
+def test_values_followed_by_others_are_found_and_stay_linked():
+    for v in FOLLOWED:
+        alone, found = pii.replace(v, P)
+        assert len(found) == 1, v
+        for after in AFTER:
+            text = f"Say {v} {after}"
+            new, spans = pii.replace(text, P)
+            own, others = pii.replace(after, P)
+            assert spans[0] == (found[0][0], 4, 4 + len(v)) and len(spans) == 1 + len(others), (v, after)
+            assert new == f"Say {alone} {own}" and pii.replace(new, P, back=True)[0] == text, (v, after)
+
+
+def test_a_number_before_a_card():
+    new, found = pii.replace("In 2024 4111 1111 1111 1111 and 12 378282246310005.", P)
+    assert [k for k, *_ in found] == ["card", "card"] and "4111" not in new
+
+
 def test_clean_texts_stay():
     for v in PLAIN + [None and ""]:
         if v:
