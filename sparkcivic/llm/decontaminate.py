@@ -18,8 +18,9 @@ first join deals by nothing but the documents' own partitions.
 
 Words are the maximal runs of a-z, 0-9 and non-ASCII characters after
 lower-casing A-Z. Text is cut before it is lower-cased, as case does not move
-word borders; postings are keyed by the fully lower-cased word, which can only
-add candidates, and the last comparison uses the A-Z rule.
+word borders; documents' words and test terms are both lower-cased one by one
+(lower-casing a whole text depends on the neighbours of a Greek sigma). This
+key can only add candidates, and the last comparison uses the A-Z rule.
 
 Defined results
   * NULL or empty text: no words, no hits. A document row gives one result
@@ -66,7 +67,7 @@ def test_windows(items: DataFrame, item: str = "item_id", text: str = "text", wi
 def term_counts(docs: DataFrame, windows: DataFrame, text: str = "text") -> DataFrame:
     """``term, n``: occurrences in the documents of every test term."""
     terms = windows.select(F.explode("words").alias("term")).select(F.lower("term").alias("term")).distinct()
-    seen = docs.select(F.explode(words(F.lower(F.col(text)))).alias("term"))
+    seen = docs.select(F.explode(words(F.col(text))).alias("term")).select(F.lower("term").alias("term"))
     seen = seen.join(maybe_broadcast(terms, terms.count(), BROADCAST_ROWS), "term", "left_semi")
     return terms.join(seen.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term", "left").na.fill(0, ["n"])
 
@@ -84,7 +85,7 @@ def build_index(docs: DataFrame, planned: DataFrame, doc: str = "doc_id", text:
     occurrence of the windows' rarest terms."""
     terms = planned.select(F.explode("lead.term").alias("term")).distinct()
     terms = maybe_broadcast(terms, terms.count(), BROADCAST_ROWS)
-    posted = docs.select(F.col(doc).alias("doc_id"), F.posexplode(words(F.lower(F.col(text)))).alias("pos", "term"))
+    posted = docs.select(F.col(doc).alias("doc_id"), F.posexplode(words(F.col(text))).alias("pos", "term")).withColumn("term", F.lower("term"))
     return materialize(posted.join(terms, "term", "left_semi").select("term", "doc_id", "pos"), "postings")
 
 

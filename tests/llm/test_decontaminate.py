@@ -91,3 +91,10 @@ def test_native_plan(spark):
     df = dec.contamination(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
     plan = df._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+def test_greek_sigma_beside_other_signs(spark):
+    text = "ΟΔΟΣ.ΑΘΗΝΑ ΑΣ'Β " + " ".join(f"word{i}" for i in range(9))
+    rows, items = [(1, text), (2, "so " + text + " on"), (3, "other words")], [(0, text)]
+    got = run(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert got == brute(rows, items) and [n for _, _, n, _ in got] == [13, 13, 0]
