@@ -10,8 +10,8 @@ top-k per query, which is pruned before the shuffle.
 
 Queries are a stated set, cut into blocks; each block meets each shard once
 (an equi join on the block number). Equal vectors of a shard are kept as one
-vector with its ``k + 1`` smallest ids, which loses nothing, as a query can
-only return k of them and at most one of them is the query itself.
+vector with its ``2 * k`` smallest ids, at most ``k`` times the same one, so
+that k ids that are not the query's own remain if there are as many.
 
 Defined results
   * Vectors that are NULL or hold a NULL or non-finite component take no part.
@@ -74,6 +74,13 @@ def packed(rows: DataFrame, size: int, scale: float) -> DataFrame:
     return rows.mapInPandas(_packed(size, scale), PACKED)
 
 
+def _first_ids(ids: np.ndarray, k: int) -> np.ndarray:
+    """The first ``2 * k`` of ascending ids, at most ``k`` times the same one."""
+    if len(ids) <= k + 1:
+        return ids
+    return ids[np.arange(len(ids)) - np.searchsorted(ids, ids) < k][:2 * k]
+
+
 class Shard:
     """Sorted lists of one shard."""
 
@@ -83,7 +90,7 @@ class Shard:
         self.vectors, where = np.unique(data, axis=0, return_inverse=True)
         by = np.argsort(where.ravel(), kind="stable")  # ids of equal vectors, ascending
         starts = np.searchsorted(where.ravel()[by], np.arange(len(self.vectors) + 1))
-        self.ids = [ids[by[a:min(b, a + k + 1)]] for a, b in zip(starts, starts[1:])]
+        self.ids = [_first_ids(ids[by[a:b]], k) for a, b in zip(starts, starts[1:])]
         self.lists = np.argsort(self.vectors, axis=0, kind="stable").T.copy()  # ascending, per dimension
         self.sorted = np.sort(self.vectors, axis=0).T.copy()
         self.largest = np.abs(data).max(initial=0)

@@ -50,3 +50,11 @@ def test_few_rows_large_numbers_and_empty_table(spark):
     rows = [(0, [1e12, 1e12]), (1, [1e12, -1e12]), (2, [1e11, 3e-3])]
     assert {(q, r, i) for q, r, i, _ in run(spark, rows)} == {(q, r, i) for q, r, i, _ in brute(rows)}
     assert run(spark, []) == set()
+
+
+@pytest.mark.parametrize("copies", [1, 5, 6, 7, 20])
+def test_a_repeated_query_row_hides_no_others(copies):
+    import numpy as np
+    ids = np.array([0] * copies + [1, 1, 2, 3, 4, 5, 6, 7])
+    got, _ = topk.Shard(ids, np.ones((len(ids), 3)), 5).top(0, np.ones(3), 5)
+    assert got == [(3, i) for i in (1, 1, 2, 3, 4)]
