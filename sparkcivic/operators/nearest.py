@@ -1,242 +1,203 @@
-"""Exact nearest-site search with all ties kept, built from grid equi-joins.
+"""Exact nearest-site search with all ties kept, by a quadtree of the sites.
 
 For every point the result holds each site whose great-circle distance equals
 the minimum over all sites -- the rows that ``rank() == 1`` over a cross join
 of points and sites would keep -- without materialising that cross join.
 
-Method. Both sides are first reduced to their distinct coordinates, so a
-location shared by many rows is solved once. The globe is cut into square
-cells of ``g = 360 / 2**b`` degrees. A point is joined (equi-join on the cell
-key) with the sites in its 3 x 3 block of cells; the smallest distance found
-there is final when it is below a lower bound on the distance to any site
-*outside* the block. Points that are not settled repeat the step on a grid of
-four times the cell size, and so on; at ``b = 1`` the block is the whole globe,
-so every point settles. The starting ``b`` comes from the number of sites per
-occupied cell, so most points settle on the first grid and a few far-away
-locations do not change it. When the points left over are few enough for a
-bounded number of pairs, one last round settles them.
-
-Hot cells. A cell holding more than ``max_cell_sites`` distinct site
-locations is never paired with points wholesale (a dense cluster would pair
-every nearby point with all of it). Such a cell is descended instead: its
-sixteen sub-cells (two grid levels down) are joined with the point, each sub-cell contributes one
-representative site whose distance is an upper bound ``U`` for the point, and
-sub-cells whose lower-bound distance from the point exceeds ``U`` are pruned;
-surviving sub-cells with few sites are paired, crowded ones descend again.
-Pruned sites are strictly farther than a real site, so neither the minimum
-nor any tie is lost, and each point meets only the sub-cells near its
-nearest site.
-
-Each level is one equi-join (broadcast by AQE when the site cells are small
-at run time, a shuffle join otherwise) plus one window over the point key.
-Every level's result is written as a Parquet table under
-``spark.checkpoint.dir``: the unsettled points are read back from it, lineage
-stays short, and a lost executor costs only the current level.
+Both sides are first reduced to their distinct coordinates, so a location
+shared by many rows is solved once.
+
+The tree. The globe is cut into square cells of ``360 / 2**b`` degrees for
+every second ``b`` up to ``_FINEST`` (centimetres). One aggregation counts the
+sites of every cell of every level, with the bounding box of its sites and one
+of them as its representative. A cell with more than ``max_cell_sites``
+locations is opened into its sixteen sub-cells; the cells that are not are the
+leaves. Empty cells do not occur. The capacity of a leaf grows with the number
+of sites, so that the open cells, which every task needs, stay within a proven
+bound (``_OPEN_PER_LEVEL`` per level, sixteen sub-cells each); the sites
+themselves stay in a written table, keyed by leaf.
+
+The search. Every point goes down the tree with a bound of its own: the least
+distance to a representative met so far. Cells whose box lies beyond the bound
+are left out, so a point reaches the few leaves that can hold its nearest site,
+wherever it lies: inside a city, in a tight cluster, or an ocean away. Points
+and sites of a leaf then meet in one equi join, and the minimum per point is a
+rank that ``WindowGroupLimit`` prunes before its shuffle. Cells left out are
+strictly farther than a real site, so neither the minimum nor a tie is lost.
+
+The number of jobs does not depend on the data: there are no rounds.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_KM, haversine_km
 from ..session import materialize
 
-# slack between a distance found and a bound: relative, plus an absolute 1 um
-# for the finest cells (centimetres), where the absolute rounding error of a
-# 6371 km-scale computation (~1e-12 km) would exceed the relative part alone.
-# Both are far above floating-point error, so no nearer site is ever missed.
+# slack between a distance found and a bound: relative, plus an absolute one of
+# about 1 um on the globe for the finest cells (centimetres), where the rounding
+# error of angles in radians would exceed the relative part alone. Both are far
+# above floating-point error, so no nearer site is ever missed.
 _SLACK = 1e-9
-_ABS_SLACK_KM = 1e-9
-_MAX_BITS = 30
-_SITES_PER_CELL = 2.25  # (1.5)^2: a 3x3 block holds about 20 sites on average
+_ABS_SLACK = 1e-13
+_STEP, _FINEST = 2, 30  # each level splits a cell into 4 x 4; the finest level's cells are leaves whatever they hold
 DEFAULT_MAX_CELL_SITES = 64
-_PROBED_BITS = tuple(range(2, 27, 2))  # levels tried for the start
-FINAL_PAIRS = 2_000_000  # pairs of a left-over point and a site that one last round may hold
-_DESCEND_BITS = 2  # each descent round splits a crowded cell into 4 x 4 sub-cells
-
-
-def _cells(lat: Column, lon: Column, g: float):
-    i = F.floor((lat + F.lit(90.0)) / F.lit(g))
-    j = F.floor(F.pmod(lon + F.lit(180.0), F.lit(360.0)) / F.lit(g))
-    return i, j
-
-
-def _outside_bound(lat: Column, lon: Column, g: float, n_lon: int, radius: float) -> Column:
-    """Lower bound (km) on the distance from (lat, lon) to any site outside
-    its 3 x 3 block; NULL means no site can be outside (infinite bound)."""
-    i, _ = _cells(lat, lon, g)
-    lat_lo = (i - 1) * F.lit(g) - F.lit(90.0)
-    lat_hi = (i + 2) * F.lit(g) - F.lit(90.0)
-    m_lo = F.when(lat_lo > -90.0, lat - lat_lo)
-    m_hi = F.when(lat_hi < 90.0, lat_hi - lat)
-    d_lat = F.lit(radius) * F.radians(F.least(m_lo, m_hi))
-    if n_lon <= 3:
-        return d_lat
-    x = F.pmod(lon + F.lit(180.0), F.lit(360.0))
-    j = F.floor(x / F.lit(g))
-    m_lon = F.least(x - (j - 1) * F.lit(g), (j + 2) * F.lit(g) - x)
-    c_min = F.least(F.cos(F.radians(F.greatest(lat_lo, F.lit(-90.0)))),
-                    F.cos(F.radians(F.least(lat_hi, F.lit(90.0)))))
-    h = F.cos(F.radians(lat)) * c_min * F.pow(F.sin(F.radians(m_lon) / 2), 2)
-    d_lon = F.lit(2.0 * radius) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
-    return F.least(d_lat, d_lon)
-
-
-def _box_bound(lat: Column, lon: Column, ci: Column, cj: Column, g: float, radius: float) -> Column:
-    """Lower bound (km) on the distance from (lat, lon) to any point of grid
-    cell (ci, cj) of size ``g``: latitude gap, wrapped longitude gap, and the
-    smallest cosine over the cell's latitudes."""
-    lat0 = F.greatest(ci * F.lit(g) - F.lit(90.0), F.lit(-90.0))
-    lat1 = F.least((ci + 1) * F.lit(g) - F.lit(90.0), F.lit(90.0))
-    dphi = F.greatest(lat0 - lat, lat - lat1, F.lit(0.0))
-    x = F.pmod(lon + F.lit(180.0), F.lit(360.0))
-    x0 = cj * F.lit(g)
-    x1 = (cj + 1) * F.lit(g)
-    gap = F.least(F.pmod(x0 - x, F.lit(360.0)), F.pmod(x - x1, F.lit(360.0)))
-    dlam = F.when((x >= x0) & (x <= x1), F.lit(0.0)).otherwise(gap)
-    c_min = F.greatest(F.least(F.cos(F.radians(lat0)), F.cos(F.radians(lat1))), F.lit(0.0))
-    h = (F.pow(F.sin(F.radians(dphi) / 2), 2)
-         + F.cos(F.radians(lat)) * c_min * F.pow(F.sin(F.radians(dlam) / 2), 2))
-    return F.lit(2.0 * radius) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
-
-
-def _descend(opened: DataFrame, sites: DataFrame, b: int, max_cell_sites: int,
-             radius: float) -> DataFrame:
-    """Pairs (point, site, distance) for every site of the crowded cells in
-    ``opened`` (``_plat, _plon, _ci, _cj`` at level ``b``) that can still be
-    nearest, found by pruned descent through sub-cells."""
-    if b >= _MAX_BITS:
-        raise ValueError("no finer level to open a crowded cell at")
-    nul = F.lit(None).cast("double")
-    todo = materialize(opened.withColumn("_U", nul), f"nearest-open{b}")
-    point_key = Window.partitionBy("_plat", "_plon")
-    found = []
-    prev = b
-    while prev < _MAX_BITS:
-        c = min(prev + _DESCEND_BITS, _MAX_BITS)
-        shift = 1 << (c - prev)
-        g = 360.0 / (1 << c)
-        ci, cj = _cells(F.col("_slat"), F.col("_slon"), g)
-        parents = todo.select(F.col("_ci").alias("_pi"), F.col("_cj").alias("_pj")).distinct()
-        sub = (sites.select("_slat", "_slon", ci.alias("_ci"), cj.alias("_cj"))
-               .withColumn("_pi", F.floor(F.col("_ci") / shift)).withColumn("_pj", F.floor(F.col("_cj") / shift))
-               .join(parents, ["_pi", "_pj"], "left_semi"))
-        kids = sub.groupBy("_pi", "_pj", "_ci", "_cj").agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_slat").alias("_rlat"),
-            F.min_by("_slon", "_slat").alias("_rlon"))
-        rows = (todo.select("_plat", "_plon", "_U", F.col("_ci").alias("_pi"), F.col("_cj").alias("_pj"))
-                .join(kids, ["_pi", "_pj"]))
-        rep_d = haversine_km("_plat", "_plon", "_rlat", "_rlon", radius)
-        rows = rows.withColumn("_U", F.least(F.min(rep_d).over(point_key), F.col("_U")))
-        lb = _box_bound(F.col("_plat"), F.col("_plon"), F.col("_ci"), F.col("_cj"), g, radius)
-        keep = materialize(rows.filter(lb * F.lit(1.0 - _SLACK) - F.lit(_ABS_SLACK_KM) <= F.col("_U"))
-                           .select("_plat", "_plon", "_ci", "_cj", "_n", "_U"), f"nearest-open{c}")
-        leaf = (F.col("_n") <= max_cell_sites) if c < _MAX_BITS else F.lit(True)
-        leaf_sites = sites.select("_slat", "_slon", ci.alias("_ci"), cj.alias("_cj"))
-        found.append(keep.filter(leaf).select("_plat", "_plon", "_ci", "_cj")
-                     .join(leaf_sites, ["_ci", "_cj"])
-                     .select("_plat", "_plon", "_slat", "_slon",
-                             haversine_km("_plat", "_plon", "_slat", "_slon", radius).alias("_d")))
-        todo = keep.filter(~leaf).select("_plat", "_plon", "_ci", "_cj", "_U")
-        if todo.isEmpty():
-            break
-        prev = c
-    return reduce(lambda a, x: a.unionByName(x), found)
-
-
-def _start_bits(sites: DataFrame) -> tuple[int, int]:
-    """Number of sites and the starting level, in one pass over the sites: the
-    coarsest probed level at which occupied cells hold at most about
-    ``_SITES_PER_CELL`` sites. Only occupied cells count, so a few far-away
-    sites or points do not change the level of the rest."""
-    finest = _PROBED_BITS[-1]
-    ci, cj = _cells(F.col("_slat"), F.col("_slon"), 360.0 / (1 << finest))
-
-    def occupied(b):  # coarser cells are prefixes of the finest
-        return F.approx_count_distinct(F.expr(f"shiftleft(shiftright(ci, {finest - b}), 32) + shiftright(cj, {finest - b})"), 0.1).alias(f"b{b}")
-    row = sites.select(ci.alias("ci"), cj.alias("cj")).agg(F.count(F.lit(1)).alias("n"), *map(occupied, _PROBED_BITS)).first()
-    n = row["n"]
-    per = {b: n / max(row[f"b{b}"], 1) for b in _PROBED_BITS}
-    level = next((b for b in _PROBED_BITS if per[b] <= _SITES_PER_CELL), finest)
-    # the level between two probed ones holds about their geometric mean
-    if level - 2 in per and (per[level] * per[level - 2]) ** 0.5 <= _SITES_PER_CELL:
-        level -= 1
-    return n, level
+_OPEN_PER_LEVEL = 4096  # open cells of one level at most
+_CHUNK = 4096  # points that go down the tree together
+
+
+class Quadtree:
+    """The cells of the tree as arrays. Distances are compared as the sine of
+    half their angle, which grows with them; no radius is needed. An open cell
+    with one sub-cell is passed over."""
+
+    def __init__(self, cells: pd.DataFrame, capacity: int):
+        cells = cells.sort_values(["b", "ci", "cj"], ignore_index=True)
+        b, ci, cj = (cells[c].to_numpy(np.int64) for c in ("b", "ci", "cj"))
+        self.leaf = (cells["n"].to_numpy() <= capacity) | (b == _FINEST)
+        self.lat0, self.lat1, self.x0, self.x1, self.rlat, self.rx = (
+            np.radians(cells[c].to_numpy(np.float64)) for c in ("lat0", "lat1", "x0", "x1", "rlat", "rx"))
+        self.least_cos = np.maximum(np.minimum(np.cos(self.lat0), np.cos(self.lat1)), 0.0)
+        self.rcos = np.cos(self.rlat)
+        self.numbers = {key: k for k, key in enumerate(zip(b.tolist(), ci.tolist(), cj.tolist()))}
+        parent = [self.numbers.get((x - _STEP, i >> _STEP, j >> _STEP), -1) for x, i, j in zip(b.tolist(), ci.tolist(), cj.tolist())]
+        parent = np.array(parent, dtype=np.int64)
+        children = np.argsort(parent, kind="stable")
+        self.first = np.searchsorted(parent[children], np.arange(len(cells) + 1))
+        down = np.arange(len(cells))
+        while (single := ~self.leaf[down] & (self.first[down + 1] - self.first[down] == 1)).any():
+            down[single] = children[self.first[down[single]]]
+        self.children, self.roots = down[children], down[np.flatnonzero(b == _STEP)]
+
+    def to_representative(self, lat, cos, x, cell):
+        a = np.sin((self.rlat[cell] - lat) / 2) ** 2 + cos * self.rcos[cell] * np.sin((self.rx[cell] - x) / 2) ** 2
+        return np.sqrt(a)
+
+    def beyond(self, lat, cos, x, cell):
+        """Lower bound on the distance to any site of the cell: latitude gap,
+        wrapped longitude gap, least cosine of the cell's latitudes."""
+        dphi = np.maximum(np.maximum(self.lat0[cell] - lat, lat - self.lat1[cell]), 0.0)
+        west, east = self.x0[cell] - x, x - self.x1[cell]
+        gap = np.maximum(np.maximum(west, east), 0.0)  # the other way round the globe is shorter where a gap exceeds half
+        gap = np.minimum(gap, np.where(west > 0, 2 * np.pi + east, 2 * np.pi + west))
+        return np.sqrt(np.sin(dphi / 2) ** 2 + cos * self.least_cos[cell] * np.sin(gap / 2) ** 2)
+
+    def leaves_for(self, lat: np.ndarray, lon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(point, leaf) pairs: all leaves that can hold a nearest site."""
+        phi, x = np.radians(lat), np.radians(np.mod(lon + 180.0, 360.0))
+        cos = np.cos(phi)
+        bound = np.full(len(lat), np.inf)
+        point, cell = np.repeat(np.arange(len(lat)), len(self.roots)), np.tile(self.roots, len(lat))
+        points, leaves, bounds = [], [], []
+        while len(point):
+            at = phi[point], cos[point], x[point], cell
+            np.minimum.at(bound, point, self.to_representative(*at))
+            least = self.beyond(*at) * (1.0 - _SLACK) - _ABS_SLACK
+            keep = least <= bound[point]
+            point, cell, least = point[keep], cell[keep], least[keep]
+            end = self.leaf[cell]
+            points.append(point[end])
+            leaves.append(cell[end])
+            bounds.append(least[end])
+            point, cell = point[~end], cell[~end]
+            n = self.first[cell + 1] - self.first[cell]
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            point, cell = np.repeat(point, n), self.children[np.repeat(self.first[cell], n) + place]
+        point, leaf, least = map(np.concatenate, (points, leaves, bounds))
+        keep = least <= bound[point]  # by the last bounds
+        return point[keep], leaf[keep]
+
+    def leaf_of(self, ci: int, cj: int) -> int:
+        """The leaf of a site, by its cell of the finest level."""
+        for b in range(_STEP, _FINEST + 1, _STEP):
+            k = self.numbers[b, ci >> (_FINEST - b), cj >> (_FINEST - b)]
+            if self.leaf[k]:
+                return k
+        raise KeyError((ci, cj))
+
+
+def _cells(places: DataFrame) -> DataFrame:
+    """Every occupied cell of every level, with ``above``: the sites of the
+    cell that holds it."""
+    b = F.explode(F.sequence(F.lit(_STEP), F.lit(_FINEST), F.lit(_STEP)))
+    rows = places.select("_slat", "_slon", "_ci", "_cj", b.alias("b")).select(
+        "b", F.expr(f"shiftright(_ci, {_FINEST} - b)").alias("ci"), F.expr(f"shiftright(_cj, {_FINEST} - b)").alias("cj"),
+        "_slat", F.pmod(F.col("_slon") + F.lit(180.0), F.lit(360.0)).alias("x"))
+    cells = rows.groupBy("b", "ci", "cj").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_slat").alias("lat0"), F.max("_slat").alias("lat1"), F.min("x").alias("x0"),
+        F.max("x").alias("x1"), F.min("_slat").alias("rlat"), F.min_by("x", "_slat").alias("rx"))
+    above = Window.partitionBy("b", F.expr(f"shiftright(ci, {_STEP})"), F.expr(f"shiftright(cj, {_STEP})"))
+    return cells.withColumn("above", F.sum("n").over(above))
+
+
+def quadtree(places: DataFrame, n_sites: int, max_cell_sites: int) -> Quadtree:
+    """The tree over a table of distinct sites. What the driver collects are
+    the sub-cells of open cells: a bounded number, however many sites there are."""
+    capacity = max(max_cell_sites, n_sites // _OPEN_PER_LEVEL)
+    cells = _cells(places).where((F.col("above") > capacity) | (F.col("b") == _STEP)).drop("above")
+    return Quadtree(cells.toPandas(), capacity)
+
+
+def _searching(tree):
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for k in range(0, len(batch), _CHUNK):
+                lat, lon = (batch[c].to_numpy(np.float64)[k:k + _CHUNK] for c in ("_plat", "_plon"))
+                point, leaf = tree.value.leaves_for(lat, lon)
+                yield pd.DataFrame({"_plat": lat[point], "_plon": lon[point], "_leaf": leaf})
+    return search
+
+
+def _placing(tree):
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            leaf = [tree.value.leaf_of(i, j) for i, j in zip(batch["_ci"].tolist(), batch["_cj"].tolist())]
+            yield batch[["_slat", "_slon"]].assign(_leaf=np.array(leaf, dtype=np.int64))
+    return place
+
+
+def distinct_sites(sites: DataFrame) -> tuple[DataFrame, int]:
+    """The distinct ``_slat, _slon``, with their cells of the finest level, as
+    a written table, and how many there are."""
+    g = 360.0 / (1 << _FINEST)
+    ci = F.floor((F.col("_slat") + F.lit(90.0)) / F.lit(g))
+    cj = F.floor(F.pmod(F.col("_slon") + F.lit(180.0), F.lit(360.0)) / F.lit(g))
+    places = sites.select("_slat", "_slon").distinct().withColumns({"_ci": ci, "_cj": cj})
+    places, seen = materialize(places, "nearest-sites", {"n": F.count(F.lit(1))})
+    return places, seen["n"]
 
 
 def nearest_coordinates(points: DataFrame, sites: DataFrame, radius: float = EARTH_RADIUS_KM,
-                        start_bits: int | None = None,
                         max_cell_sites: int = DEFAULT_MAX_CELL_SITES) -> DataFrame:
     """Nearest site coordinates for distinct point coordinates.
 
-    ``points`` has double columns ``_plat, _plon``; ``sites`` has ``_slat,
-    _slon`` (both already distinct, finite, latitude in [-90, 90]; read more
-    than once, so pass a written table). Returns ``_plat, _plon, _slat,
-    _slon, _d`` with every tied nearest site.
+    ``points`` has double columns ``_plat, _plon`` (distinct); ``sites`` has
+    ``_slat, _slon``; all finite, latitudes in [-90, 90]. Returns ``_plat,
+    _plon, _slat, _slon, _d`` with every tied nearest site.
     """
-    n_sites, bits = _start_bits(sites)
-    if start_bits is not None:
-        bits = min(max(int(start_bits), 1), _MAX_BITS)
-    nul = F.lit(None).cast("double")
+    places, n_sites = distinct_sites(sites)
     if not n_sites:
+        nul = F.lit(None).cast("double")
         return points.limit(0).select("_plat", "_plon", nul.alias("_slat"), nul.alias("_slon"), nul.alias("_d"))
-    point_key = Window.partitionBy("_plat", "_plon").orderBy(F.col("_d").asc_nulls_last())
-    todo, settled, b, small = points, [], bits, False
-    while True:
-        n_lon = 1 << b
-        g = 360.0 / n_lon
-        pi, pj = _cells(F.col("_plat"), F.col("_plon"), g)
-        block = F.array_distinct(F.array(*[
-            F.struct((pi + di).alias("_ci"), F.pmod(pj + dj, F.lit(n_lon)).alias("_cj"))
-            for di in (-1, 0, 1) for dj in (-1, 0, 1)]))
-        probes = todo.select("_plat", "_plon", F.explode(block).alias("_cell")).select(
-            "_plat", "_plon", F.col("_cell._ci").alias("_ci"), F.col("_cell._cj").alias("_cj"))
-        si, sj = _cells(F.col("_slat"), F.col("_slon"), g)
-        cells = sites.select("_slat", "_slon", si.alias("_ci"), sj.alias("_cj"))
-        # a crowded cell is opened level by level, as long as there is a finer level
-        has_hot = False
-        if b < _MAX_BITS and n_sites > max_cell_sites and not small:
-            hot, seen = materialize(cells.groupBy("_ci", "_cj").agg(F.count(F.lit(1)).alias("_n"))
-                                    .filter(F.col("_n") > max_cell_sites).select("_ci", "_cj"),
-                                    f"nearest-hot{b}", {"n": F.count(F.lit(1))})
-            has_hot = seen["n"] > 0
-        if has_hot:
-            cells = cells.join(hot, ["_ci", "_cj"], "left_anti")
-        cand = probes.join(cells, ["_ci", "_cj"]).select(
-            "_plat", "_plon", "_slat", "_slon",
-            haversine_km("_plat", "_plon", "_slat", "_slon", radius).alias("_d"))
-        if has_hot:
-            cand = cand.unionByName(_descend(probes.join(hot, ["_ci", "_cj"]), sites, b, max_cell_sites, radius))
-        # one marker row (no site) per point: it ranks first only for a point
-        # whose block holds no site, so the unsettled points can be read off
-        markers = todo.select("_plat", "_plon", nul.alias("_slat"), nul.alias("_slon"), nul.alias("_d"))
-        best = cand.unionByName(markers).withColumn("_rk", F.rank().over(point_key)).filter("_rk = 1").drop("_rk")
-        if b == 1:
-            ok = F.col("_d").isNotNull()
-        else:
-            bound = _outside_bound(F.col("_plat"), F.col("_plon"), g, n_lon, radius)
-            ok = F.col("_d").isNotNull() & (
-                bound.isNull() | (F.col("_d") < bound * F.lit(1.0 - _SLACK) - F.lit(_ABS_SLACK_KM)))
-        level, seen = materialize(best.withColumn("_ok", ok), f"nearest-level{b}", {"rest": F.count_if(~F.col("_ok"))})
-        settled.append(level.filter("_ok").select("_plat", "_plon", "_slat", "_slon", "_d"))
-        if b == 1 or not seen["rest"]:
-            break
-        todo = level.filter(~F.col("_ok")).select("_plat", "_plon").distinct()
-        # unsettled points climb two grid levels (cells 4x larger); when few
-        # enough are left, the last level (b = 1, the whole globe) settles them
-        small = seen["rest"] * n_sites <= FINAL_PAIRS
-        b = 1 if small else max(1, b - 2)
-    return reduce(lambda a, c: a.unionByName(c), settled)
+    tree = points.sparkSession.sparkContext.broadcast(quadtree(places, n_sites, max_cell_sites))
+    asked = points.select("_plat", "_plon").mapInPandas(_searching(tree), "_plat double, _plon double, _leaf long")
+    held = places.mapInPandas(_placing(tree), "_slat double, _slon double, _leaf long")
+    met = asked.join(held, "_leaf").select(
+        "_plat", "_plon", "_slat", "_slon", haversine_km("_plat", "_plon", "_slat", "_slon", radius).alias("_d"))
+    order = Window.partitionBy("_plat", "_plon").orderBy("_d")
+    return met.withColumn("_rk", F.rank().over(order)).filter("_rk = 1").drop("_rk")
 
 
 def nearest_sites(points: DataFrame, sites: DataFrame, lat: str = "lat", lon: str = "lon",
                   site_lat: str = "site_lat", site_lon: str = "site_lon",
                   distance_col: str = "distance_km", radius: float = EARTH_RADIUS_KM,
-                  start_bits: int | None = None, materialize_points: bool = True,
-                  max_cell_sites: int = DEFAULT_MAX_CELL_SITES,
+                  materialize_points: bool = True, max_cell_sites: int = DEFAULT_MAX_CELL_SITES,
                   per: str | None = None) -> DataFrame:
     """Every point row joined with every site at its minimum distance.
 
@@ -250,7 +211,7 @@ def nearest_sites(points: DataFrame, sites: DataFrame, lat: str = "lat", lon: st
     columns and ``distance_col``. ``materialize_points`` writes the points out
     first so an expensive upstream plan is not evaluated twice (once for the
     distinct coordinates, once for the final join back). The distinct site
-    locations are always written, as every level reads them.
+    locations are always written, as they are read twice.
     """
     def valid(la: str, lo: str) -> Column:
         return F.col(la).between(-90.0, 90.0) & (F.abs(F.col(lo).cast("double")) < float("inf"))
@@ -262,8 +223,7 @@ def nearest_sites(points: DataFrame, sites: DataFrame, lat: str = "lat", lon: st
     sts = (sites.filter(valid(site_lat, site_lon))
            .withColumn("_slat", F.col(site_lat).cast("double"))
            .withColumn("_slon", F.col(site_lon).cast("double")))
-    places = materialize(sts.select("_slat", "_slon").distinct(), "nearest-sites")
-    nn = nearest_coordinates(pts.select("_plat", "_plon").distinct(), places, radius, start_bits, max_cell_sites)
+    nn = nearest_coordinates(pts.select("_plat", "_plon").distinct(), sts, radius, max_cell_sites)
     near = pts.join(nn, ["_plat", "_plon"])
     if per is not None:
         near = near.withColumn("_rk", F.rank().over(Window.partitionBy(per).orderBy("_d"))).filter("_rk = 1").drop("_rk")

@@ -127,5 +127,5 @@ def materialize(df: DataFrame, name: str, metrics: dict | None = None):
         obs = Observation(f"materialize-{name}")
         df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
     df.write.mode("overwrite").parquet(path)
-    frame = df.sparkSession.read.parquet(path)
+    frame = df.sparkSession.read.schema(df.schema).parquet(path)  # known, so no job reads the footers
     return (frame, obs.get) if obs is not None else frame

@@ -1,4 +1,4 @@
-"""The grid search must return exactly what ranking every site per point does."""
+"""The tree search must return exactly what ranking every site per point does."""
 
 import math
 
@@ -52,14 +52,12 @@ def test_random_city(spark):
     check(spark, pts, sts)
 
 
-@pytest.mark.parametrize("bits", [1, 3, 12, 24])
-def test_forced_start_levels(spark, bits):
-    rng = np.random.default_rng(bits)
+@pytest.mark.parametrize("cap", [1, 4, 1000])
+def test_whole_globe_at_any_capacity(spark, cap):
+    rng = np.random.default_rng(cap)
     pts = [(i, rng.uniform(-80, 80), rng.uniform(-180, 180)) for i in range(150)]
     sts = [(j, rng.uniform(-60, 60), rng.uniform(-180, 180)) for j in range(25)]
-    check(spark, pts, sts, start_bits=bits)
-    if bits == 1:
-        check(spark, pts, sts, start_bits=bits, max_cell_sites=2)
+    check(spark, pts, sts, max_cell_sites=cap)
 
 
 @pytest.mark.parametrize("cap", [1, 3])
@@ -76,22 +74,38 @@ def test_crowded_cells_descend(spark, cap):
     check(spark, pts, sts, max_cell_sites=cap)
 
 
-def test_crowded_cells_counted(spark, monkeypatch):
-    """The descent really runs (and pairs far fewer than all sites)."""
+def test_a_point_meets_few_leaves():
+    """The bounds really leave out most of a cluster, seen from near and far."""
     from sparkcivic.operators import nearest as N
-    calls = []
-    real = N._descend
-
-    def spy(*a, **k):
-        calls.append(a[2])
-        return real(*a, **k)
-
-    monkeypatch.setattr(N, "_descend", spy)
     rng = np.random.default_rng(5)
-    sts = [(j, 10.0 + rng.random() * 1e-4, 10.0 + rng.random() * 1e-4) for j in range(200)]
-    pts = [(i, 10.0 + rng.random() * 1e-4, 10.0 + rng.random() * 1e-4) for i in range(20)]
-    check(spark, pts, sts, max_cell_sites=8, start_bits=6)
-    assert calls
+    lat, lon = 10.0 + rng.random(2000) * 1e-3, 10.0 + rng.random(2000) * 1e-3
+    g, rows = 360.0 / (1 << N._FINEST), {}
+    ci, cj = ((lat + 90.0) // g).astype(int), ((lon + 180.0) // g).astype(int)
+    for b in range(N._STEP, N._FINEST + 1, N._STEP):
+        for k, key in enumerate(zip((ci >> (N._FINEST - b)).tolist(), (cj >> (N._FINEST - b)).tolist())):
+            rows.setdefault((b, *key), []).append(k)
+    cells = [(b, i, j, len(k), lat[k].min(), lat[k].max(), lon[k].min() + 180, lon[k].max() + 180, lat[k[0]], lon[k[0]] + 180)
+             for (b, i, j), k in rows.items() if b == N._STEP or len(rows[b - N._STEP, i >> N._STEP, j >> N._STEP]) > 8]
+    import pandas as pd
+    tree = N.Quadtree(pd.DataFrame(cells, columns=["b", "ci", "cj", "n", "lat0", "lat1", "x0", "x1", "rlat", "rx"]), 8)
+    assert tree.leaf.sum() > 200
+    plat, plon = np.r_[10.0 + rng.random(50) * 1e-3, rng.uniform(5, 15, 50)], np.r_[10.0 + rng.random(50) * 1e-3, rng.uniform(5, 15, 50)]
+    point, leaf = tree.leaves_for(plat, plon)
+    assert len(leaf) < 8 * 100
+    site_leaf = np.array([tree.leaf_of(i, j) for i, j in zip(ci.tolist(), cj.tolist())])
+    for p in range(100):
+        a = np.sin(np.radians(lat - plat[p]) / 2) ** 2 + np.cos(np.radians(lat)) * np.cos(np.radians(plat[p])) * np.sin(np.radians(lon - plon[p]) / 2) ** 2
+        assert site_leaf[np.argmin(a)] in leaf[point == p]
+
+
+def test_open_cells_stay_bounded(spark, monkeypatch):
+    """More sites than the bound allows to open: leaves grow, answers do not change."""
+    from sparkcivic.operators import nearest as N
+    monkeypatch.setattr(N, "_OPEN_PER_LEVEL", 2)
+    rng = np.random.default_rng(6)
+    sts = [(j, rng.uniform(-60, 60), rng.uniform(-180, 180)) for j in range(200)]
+    pts = [(i, rng.uniform(-80, 80), rng.uniform(-180, 180)) for i in range(50)]
+    check(spark, pts, sts, max_cell_sites=1)
 
 
 def test_poles_antimeridian_and_clusters(spark):
@@ -150,7 +164,7 @@ def test_finest_level_keeps_crowded_cells(spark):
     pts = [(1, 34.0, -118.0), (2, 34.0 + 5e-8, -118.0), (3, 34.0 + 3e-7, -118.0), (4, 33.0, -117.0)]
     pts += [(10 + i, 34.0 + rng.random() * 4e-7, -118.0 + rng.random() * 1e-8) for i in range(20)]
     want = brute(pts, sts)
-    for kw in ({}, {"start_bits": 30}, {"start_bits": 29}, {"start_bits": 99}, {"start_bits": 30, "max_cell_sites": 1}):
+    for kw in ({}, {"max_cell_sites": 8}, {"max_cell_sites": 1}):
         got = run(spark, pts, sts, **kw)
         for pid, (d, _) in want.items():
             assert got[pid][0] == pytest.approx(d, rel=1e-6, abs=1e-9), (kw, pid)
@@ -166,7 +180,7 @@ def test_null_group_and_infinite_coordinates(spark):
     assert sorted(got, key=str) == [(1, 34.0, 1), (None, 34.0, 1)]
 
 
-def test_one_outlier_adds_few_jobs(spark):
+def test_jobs_are_few_whatever_the_points(spark):
     rng = np.random.default_rng(9)
     pts = [(i, 33.7 + rng.random() * 0.6, -118.7 + rng.random() * 0.6) for i in range(500)]
     sts = [(j, 33.7 + rng.random() * 0.6, -118.7 + rng.random() * 0.6) for j in range(1000)]
@@ -178,7 +192,8 @@ def test_one_outlier_adds_few_jobs(spark):
         n = len(tracker.getJobIdsForGroup(f"n{len(points)}"))
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         return n
-    assert jobs(pts + [(999, -45.0, 170.0)]) <= jobs(pts) + 12
+    few = jobs(pts)
+    assert few <= 14 and jobs(pts + [(999, -45.0, 170.0)]) == few
 
 
 def test_ranks_are_pruned_before_the_shuffle(spark):
