@@ -10,6 +10,13 @@ before it kept. All but the last return the columns of ``documents``.
                  a hit, and hit words at least a twentieth of the words)
   pii            replaces personal data by pseudonyms; ``n_chars`` follows
   packing        cuts and packs the token ids of what is left
+
+Defined results, for every stage: further columns are not read and cannot clash;
+an empty table gives an empty one; texts are read whole, however long; rows of
+one id are separate documents, and so are repeated rows (``near_copies`` keeps
+one of those that have words). A NULL text counts as empty: quality scores it
+as such, the next three stages keep it as it is, packing gives it a separator.
+A NULL id changes nothing. Equal ids or scores need no order.
 """
 
 from __future__ import annotations
@@ -31,17 +38,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = docs.select(*COLUMNS)
-    groups = materialize(jaccard.jaccard_components(docs), "groups")
-    gone, n = materialize(groups.where("id <> component").select(F.col("id").alias("_gone")).distinct(), "gone",
-                          {"rows": F.count(F.lit(1))})
-    kept = docs.join(maybe_broadcast(gone, n["rows"], BROADCAST_ROWS), F.col("doc_id") == F.col("_gone"), "left_anti")
-    again, n = materialize(groups.where("id is not null").groupBy(F.col("id").alias("_again")).count().where("count > 1").select("_again"),
-                           "again", {"rows": F.count(F.lit(1))})
-    if not n["rows"]:
-        return kept
-    again, same = maybe_broadcast(again, n["rows"], BROADCAST_ROWS), F.col("doc_id") == F.col("_again")
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    """Rows are compared one by one, whatever their ids. A row goes only if its
+    own text is in a group of similar texts and another row of the group stays:
+    the one with the least id, NULL ids last."""
+    docs = materialize(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = jaccard.jaccard_components(docs, doc="_row").select(F.col("id").alias("_row"), F.col("component").alias("_group"))
+    groups = materialize(groups.join(docs.select("_row", "doc_id"), "_row"), "groups")
+    stays = groups.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_stays"))
+    gone, n = materialize(groups.join(stays, "_group").where("_row <> _stays").select("_row"), "gone", {"rows": F.count(F.lit(1))})
+    return docs.join(maybe_broadcast(gone, n["rows"], BROADCAST_ROWS), "_row", "left_anti").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
