@@ -81,3 +81,18 @@ def test_edge_rows_through_all_stages(spark, tmp_path):
             assert out.count() >= (len(texts) - 4 if df is docs else 0) * (name != "quality")
     kept = [r["doc_id"] for r in cp.near_copies(spark, docs, SF01).collect()]
     assert sorted(kept, key=str) == sorted([0, 1, 2, 4, None], key=str)
+
+
+def test_near_copies_goes_by_rows_not_ids(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    texts = [(1, base), (2, base + " tail"), (2, "wholly different words that nobody else has"), (3, "first text of three"), (3, "second, other text of three"),
+             (4, "alone"), (4, "alone"), (None, base), (None, "only here, without an id"), (None, None), (5, ""), (5, None), (0, "x " + base), (7, None)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    found = brute_components(list(enumerate(t for _, t in texts)))
+    groups = {}
+    for k, (_, component) in found.items():
+        groups.setdefault(component, []).append(k)
+    stays = [min(g, key=lambda k: (texts[k][0] is None, texts[k][0] or 0, k)) for g in groups.values()]
+    got = [(r["doc_id"], r["text"]) for r in cp.near_copies(spark, docs, SF01).collect()]
+    assert sorted(got, key=str) == sorted([texts[k] for k in stays], key=str)
+    assert (2, "wholly different words that nobody else has") in got and len([g for g in got if g[0] == 3]) == 2
