@@ -7,7 +7,7 @@ from .membership import any_code_match, explode_codes
 from .nearest import nearest_coordinates, nearest_sites
 from .sample import in_sample, sample_by_key, sample_rows
 from .topk import topk_per_group
-from .union import union_eras
+from .union import common_type, misfits, reconcile, union_eras
 
 __all__ = [
     "count_by", "mean_rounded", "rate_by_group",
@@ -16,5 +16,5 @@ __all__ = [
     "any_code_match", "explode_codes",
     "nearest_coordinates", "nearest_sites",
     "in_sample", "sample_by_key", "sample_rows",
-    "topk_per_group", "union_eras",
+    "topk_per_group", "common_type", "misfits", "reconcile", "union_eras",
 ]

@@ -19,7 +19,7 @@ from ..operators import (drop_null_island, explode_codes, first_present_column,
                          flag_not_in, project_cast, require, sample_by_key, trim_names, union_eras)
 from ..operators.aggregate import mean_rounded
 from ..session import scratch_path
-from ..sources import (Source, code_dictionary, ingest, parse_csv_lines, read_csv, read_text,
+from ..sources import (Source, code_dictionary, ingest, parse_csv_lines, read_csv, read_parquet, read_text,
                        write_csv, write_parquet, write_text)
 from ..sources import schemas
 from . import analyses
@@ -562,6 +562,46 @@ def q_ingest_status(spark, sf):
     return status.select("source", "rows", "ok", "error", told.alias("told"))
 
 
+@query("ingest_rejected", with_ctes(["census"], """
+SELECT 'good' AS source, count(*) AS rows, 0 AS rejected, CAST(NULL AS VARCHAR) AS cells, 0 AS n FROM census
+UNION ALL SELECT 'dirty', count(*) FILTER (CAST(zip AS INTEGER) % 7 <> 0), count(*) FILTER (CAST(zip AS INTEGER) % 7 = 0), 'hh',
+  count(*) FILTER (CAST(zip AS INTEGER) % 7 = 0) FROM census"""))
+def q_ingest_rejected(spark, sf):
+    """Every seventh ZIP has a household size that is no number."""
+    raw = scratch_path(spark, "raw")
+    census = fx.census(spark, sf)
+    write_csv(census, f"{raw}/good")
+    dirty = F.when(F.col("zip").cast("int") % 7 == 0, F.concat(F.lit("about "), "hh")).otherwise(F.col("hh").cast("string"))
+    write_csv(census.withColumn("hh", dirty), f"{raw}/dirty")
+    out = scratch_path(spark, "parquet")
+    status = ingest(spark, [Source(n, f"{raw}/{n}", "csv", schemas.CENSUS) for n in ("good", "dirty")], out)
+    kept = read_parquet(spark, f"{out}/_rejected/dirty").where("hh like 'about %'").groupBy(F.lit("dirty").alias("source")).agg(
+        F.max(F.array_join("_bad_cells", ",")).alias("cells"), F.count(F.lit(1)).alias("n"))
+    return status.join(kept, "source", "left").select("source", "rows", "rejected", "cells", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
+
+
+@query("scan_parquet_mixed", """
+SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 2 = 1 THEN o_custkey END AS o_custkey FROM orders""")
+def q_scan_parquet_mixed(spark, sf):
+    """Two eras of one table, each with a column that the other has not."""
+    o, paths = fx.read(spark, sf, "orders"), [scratch_path(spark, "era") for _ in range(2)]
+    write_parquet(o.where("o_orderkey % 2 = 0").select("o_orderkey", "o_totalprice", "o_orderstatus"), paths[0])
+    write_parquet(o.where("o_orderkey % 2 = 1").select("o_custkey", "o_orderkey", "o_totalprice"), paths[1])
+    return read_parquet(spark, paths).select("o_orderkey", "o_totalprice", "o_orderstatus", "o_custkey")
+
+
+@query("union_type_drift", with_ctes(["incidents"], """
+SELECT dr_no, CASE WHEN dr_no % 2 = 0 OR area % 5 <> 0 THEN area END AS area, CAST(age AS BIGINT) AS age FROM incidents"""))
+def q_union_type_drift(spark, sf):
+    """The area is a number in one era and text, at times no number, in the
+    other; the age is of two number types."""
+    inc = fx.incidents(spark, sf).select("dr_no", "area", "age")
+    first = inc.where("dr_no % 2 = 0").withColumn("age", F.col("age").cast("bigint"))
+    text = F.when(F.col("area") % 5 == 0, F.lit("n/a")).otherwise(F.col("area").cast("string"))
+    return union_eras(first, inc.where("dr_no % 2 <> 0").withColumn("area", text), types="area int")
+
+
 # -------------------------------------------------------------- sinks -------
 
 @query("sink_parquet", with_ctes(["incidents"], "SELECT * FROM incidents"))

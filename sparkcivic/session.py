@@ -87,6 +87,27 @@ def delete_paths(spark: SparkSession, paths) -> None:
         hp.getFileSystem(conf).delete(hp, True)
 
 
+def switch(spark: SparkSession, staged: str, target: str) -> None:
+    """Put the folder ``staged`` in the place of ``target``. What was there is
+    taken aside first, put back if the switch fails, and deleted after it."""
+    jvm = spark.sparkContext._jvm
+    new, at, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (staged, target, f"{staged}-old"))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(at.getParent())
+    had = fs.exists(at)
+    if had and not fs.rename(at, old):
+        raise IOError(f"cannot take {target} aside")
+    try:
+        if not fs.rename(new, at):
+            raise IOError(f"cannot put {staged} in the place of {target}")
+    except Exception:
+        if had and not fs.exists(at):
+            fs.rename(old, at)
+        raise
+    if had:
+        fs.delete(old, True)
+
+
 @contextlib.contextmanager
 def scratch_scope(spark: SparkSession):
     """Delete every scratch folder made inside the block when it ends.

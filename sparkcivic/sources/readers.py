@@ -9,14 +9,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..operators.union import reconcile
+
+BAD_CELLS, BAD_LINE = "_bad_cells", "_bad_line"
 
 def _paths(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_parquet(spark: SparkSession, paths, columns: Sequence[str] | None = None) -> DataFrame:
-    """Columnar scan; selecting ``columns`` here (or later) prunes the read."""
-    df = spark.read.parquet(*_paths(paths))
+def read_parquet(spark: SparkSession, paths, columns: Sequence[str] | None = None, schema: StructType | str | None = None,
+                 merge_schema: bool = False) -> DataFrame:
+    """Columnar scan; selecting ``columns`` here (or later) prunes the read.
+
+    Several paths may have different layouts: each is read with its own, and
+    the rows are united by column name, with NULL where a path has no such
+    column. Types that differ are reconciled as in ``union_eras``: to a common
+    number type, or to the type that ``schema`` declares, else it is an error.
+    With a ``schema`` the result has its columns, in its order, and a column
+    that no path has is an error. ``merge_schema`` does the same for the files
+    of one path, at the cost of reading all their footers.
+    """
+    want = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    frames = [spark.read.option("mergeSchema", merge_schema).parquet(p) for p in _paths(paths)]
+    if want is not None:
+        missing = [f.name for f in want.fields if all(f.name not in df.columns for df in frames)]
+        if missing:
+            raise ValueError(f"no path has column {', '.join(missing)}")
+        frames = [df.select(*[f"`{f.name}`" for f in want.fields if f.name in df.columns]) for df in frames]
+    df = frames[0] if len(frames) == 1 and want is None else reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), reconcile(frames, want))
+    if want is not None:
+        df = df.select(*[f"`{f.name}`" for f in want.fields])
     return df.select(*columns) if columns else df
 
 
@@ -46,7 +69,7 @@ def read_csv(spark: SparkSession, paths, schema: StructType | str | None = None,
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _by_header(reader, path: str, want: StructType) -> DataFrame:
+def _by_header(reader, path: str, want: StructType, bad_line: str | None = None) -> DataFrame:
     names = reader.csv(path).columns  # reads one line
     trimmed = [n.strip() for n in names]
     missing = [f.name for f in want.fields if f.name not in trimmed]
@@ -54,8 +77,38 @@ def _by_header(reader, path: str, want: StructType) -> DataFrame:
         raise ValueError(f"{path}: no column {', '.join(missing)} in the header")
     types = {f.name: f.dataType for f in want.fields}
     schema = StructType([StructField(n, types.get(t, StringType())) for n, t in zip(names, trimmed)])
-    df = reader.option("enforceSchema", False).schema(schema).csv(path)
-    return df.select([F.col(f"`{names[trimmed.index(f.name)]}`").alias(f.name) for f in want.fields])
+    more = [StructField(bad_line, StringType())] if bad_line else []
+    df = reader.option("enforceSchema", False).schema(StructType([*schema.fields, *more])).csv(path)
+    return df.select([F.col(f"`{names[trimmed.index(f.name)]}`").alias(f.name) for f in want.fields] + [f.name for f in more])
+
+
+def read_csv_checked(spark: SparkSession, paths, schema: StructType | str, header: bool = True, multi_line: bool = False,
+                     sep: str = ",") -> DataFrame:
+    """Delimited text with a declared schema in which nothing is lost unseen.
+
+    The declared columns, typed, and beside each of them that is no text its
+    text as ``_text_<name>``; ``_bad_cells``: names of the columns whose text
+    is not empty and does not fit the type; ``_bad_line``: the line, if it has
+    more or fewer fields than the others. Cells that do not fit are NULL.
+    """
+    want = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    reader = (spark.read.option("header", header).option("sep", sep).option("escape", '"').option("multiLine", multi_line)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE))
+    texts = StructType([StructField(f.name, StringType()) for f in want.fields])
+    if header:
+        frames = [_by_header(reader, p, texts, BAD_LINE) for p in _paths(paths)]
+    else:
+        frames = [reader.schema(StructType([*texts.fields, StructField(BAD_LINE, StringType())])).csv(_paths(paths))]
+    df = reduce(lambda a, b: a.unionByName(b), frames)
+    typed, kept, bad = [], [], []
+    for f in want.fields:
+        text, value = F.col(f"`{f.name}`"), F.col(f"`{f.name}`").try_cast(f.dataType)
+        typed.append(value.alias(f.name))
+        if f.dataType != StringType():
+            kept.append(text.alias(f"_text_{f.name}"))
+            bad.append(F.when(value.isNull() & (F.trim(text) != ""), F.lit(f.name)))
+    cells = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
+    return df.select(*typed, *kept, cells.alias(BAD_CELLS), BAD_LINE)
 
 
 def read_text(spark: SparkSession, paths) -> DataFrame:

@@ -117,3 +117,25 @@ def test_sql_topk_equals_dataframe_topk_with_same_rules(spark):
     via_df = analyses.topk_rate(inc, "date_occ", "area", "status", fx.OPEN_STATUSES, ties="row",
                                 decimal_digits=10)
     assert [tuple(r) for r in via_sql.collect()] == [tuple(r) for r in via_df.collect()]
+
+
+def test_eras_of_different_types_meet_in_a_common_one(spark):
+    from decimal import Decimal
+
+    from sparkcivic.operators import common_type, misfits
+    from pyspark.sql.types import DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, StringType, TimestampType
+    assert common_type("c", [IntegerType(), LongType()]) == LongType()
+    assert common_type("c", [FloatType(), IntegerType()]) == DoubleType()
+    assert common_type("c", [DecimalType(9, 2), IntegerType()]) == DecimalType(12, 2)
+    assert common_type("c", [DateType(), TimestampType()]) == TimestampType()
+    for pair in ([IntegerType(), StringType()], [DecimalType(38, 30), LongType()], [LongType(), DoubleType()]):
+        with pytest.raises(TypeError):
+            common_type("c", pair)
+    a = spark.createDataFrame([(1, Decimal("1.50"), 3)], " a int, b decimal(5,2), c int")
+    b = spark.createDataFrame([(2 ** 40, 7, "x"), (None, 8, "12")], "a long, b int, `c ` string")
+    with pytest.raises(TypeError, match="column c"):
+        union_eras(a, b)
+    got = union_eras(a, b, types="c int")
+    assert dict(got.dtypes) == {"a": "bigint", "b": "decimal(12,2)", "c": "int"}
+    assert sorted((tuple(r) for r in got.collect()), key=str) == [(1, Decimal("1.50"), 3), (2 ** 40, Decimal("7.00"), None), (None, Decimal("8.00"), 12)]
+    assert misfits(b.toDF("a", "b", "c"), "c int").first().c == 1

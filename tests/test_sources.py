@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkcivic.session import scratch_path
-from sparkcivic.sources import (Source, ingest, read_csv, read_text, write_csv, write_parquet,
+from sparkcivic.sources import (Source, ingest, read_csv, read_csv_checked, read_parquet, read_text, write_csv, write_parquet,
                                 write_text)
 from sparkcivic.sources.schemas import CENSUS, INCOME
 from sparkcivic.streaming.incremental import band_counts_stream
@@ -79,3 +79,49 @@ def test_scratch_scope_deletes_its_tables(spark):
         assert len(inner) == 1 and not os.path.exists(inner[0].removeprefix("file:"))
         assert len(made) == 2 and os.path.exists(made[0].removeprefix("file:"))
     assert not any(os.path.exists(p.removeprefix("file:")) for p in made)
+
+
+def test_a_failing_source_leaves_the_old_table(spark):
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "out")
+    write_csv(spark.createDataFrame([("00001", 2.5)], "zip string, hh double"), f"{raw}/census")
+    assert ingest(spark, [Source("s", f"{raw}/census", "csv", CENSUS)], out).first().ok
+    boom = lambda df: df.withColumn("hh", F.raise_error(F.lit("late failure")))  # noqa: E731  fails while writing
+    status = ingest(spark, [Source("s", f"{raw}/census", "csv", CENSUS, transform=boom), Source("t", f"{raw}/census", "csv", CENSUS)], out).collect()
+    assert [(r.source, r.ok) for r in status] == [("s", False), ("t", True)] and "late failure" in status[0].message
+    assert [tuple(r) for r in spark.read.parquet(f"{out}/s").collect()] == [("00001", 2.5)]
+    hidden = [f for f in os.listdir(out) if f.startswith("_staged") and os.listdir(f"{out}/{f}")]
+    assert not hidden
+    with pytest.raises(ValueError):
+        ingest(spark, [Source("a", raw), Source("a", raw)], out)
+
+
+def test_bad_cells_and_lines_are_counted_and_kept(spark):
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "out")
+    spark.createDataFrame([("zip,hh,n",), ("1,2.5,3",), ("2,many,4",), ("3,1.5,",), ("4,x,y",), ("5,1.0",), ("6,1.0,2,9",)], "value string").coalesce(1).write.text(raw)
+    schema = "zip string, hh double, n int"
+    checked = {r.zip: r for r in read_csv_checked(spark, raw, schema).collect()}
+    assert {z: r._bad_cells for z, r in checked.items()} == {"1": [], "2": ["hh"], "3": [], "4": ["hh", "n"], "5": [], "6": []}
+    assert checked["2"].hh is None and checked["2"]._text_hh == "many" and checked["5"]._bad_line == "5,1.0" and checked["6"]._bad_line
+    from pyspark.sql.types import StructType
+    for _ in range(2):  # a second load replaces the rejected rows as well
+        row = ingest(spark, [Source("s", raw, "csv", StructType.fromDDL(schema))], out).first()
+        assert (row.rows, row.rejected, row.ok) == (2, 4, True)
+        assert {(r.zip, r.hh, r.n) for r in spark.read.parquet(f"{out}/_rejected/s").collect()} == {
+            ("2", "many", "4"), ("4", "x", "y"), ("5", "1.0", None), ("6", "1.0", "2")}
+    assert sorted(r.zip for r in spark.read.parquet(f"{out}/s").collect()) == ["1", "3"]
+
+
+def test_parquet_paths_of_different_layout(spark):
+    a, b = scratch_path(spark, "a"), scratch_path(spark, "b")
+    write_parquet(spark.createDataFrame([(1, 5)], "id int, n int"), a)
+    write_parquet(spark.createDataFrame([(2, "x", "7")], "id long, x string, n string"), b)
+    for paths in ([a, b], [b, a]):
+        got = read_parquet(spark, paths, schema="id bigint, x string, n int")
+        assert sorted((tuple(r) for r in got.collect()), key=str) == [(1, None, 5), (2, "x", 7)]
+        assert sorted(read_parquet(spark, paths, ["id", "x"], schema="id bigint, x string").columns) == ["id", "x"]
+        with pytest.raises(TypeError, match="column n"):  # while planning
+            read_parquet(spark, paths)
+    with pytest.raises(ValueError, match="nowhere"):
+        read_parquet(spark, [a, b], schema="id bigint, nowhere int")
+    spark.createDataFrame([(3, "y")], "id int, z string").write.mode("append").parquet(a)
+    assert set(read_parquet(spark, a, merge_schema=True).columns) == {"id", "n", "z"}
