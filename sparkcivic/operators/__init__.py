@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
-from .aggregate import count_by, mean_rounded, rate_by_group
+from .aggregate import count_by, exact_mean, mean_rounded, rate_by_group
 from .columns import first_present_column, project_cast, trim_names
 from .filters import drop_null_island, flag_not_in, require
 from .membership import any_code_match, explode_codes
@@ -10,7 +10,7 @@ from .topk import topk_per_group
 from .union import common_type, misfits, reconcile, union_eras
 
 __all__ = [
-    "count_by", "mean_rounded", "rate_by_group",
+    "count_by", "exact_mean", "mean_rounded", "rate_by_group",
     "first_present_column", "project_cast", "trim_names",
     "drop_null_island", "flag_not_in", "require",
     "any_code_match", "explode_codes",

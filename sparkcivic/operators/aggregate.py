@@ -35,10 +35,23 @@ def rate_by_group(df: DataFrame, keys: Sequence[str], flag: Column | str,
     return agg.withColumn(rate_col, rate)
 
 
+def exact_mean(value: Column, digits: int) -> Column:
+    """Mean rounded HALF_UP to ``digits``, the same whatever the order and the
+    partitions of the rows: values are taken to 12 decimals, their sum is exact.
+    Groups with a value that has no such form (NaN, infinite, beyond 26 digits)
+    get the mean of floating-point sums."""
+    whole = value.try_cast("decimal(38,12)")
+    count = F.count(value)
+    plain = F.avg(value.cast("double"))
+    mean = (F.try_sum(whole) / count).cast("decimal(38,12)")
+    odd = F.count_if(value.isNotNull() & whole.isNull()) > 0
+    return F.when(odd, F.round(plain, digits)).when(count > 0, F.coalesce(F.round(mean, digits).cast("double"), F.round(plain, digits)))
+
+
 def mean_rounded(df: DataFrame, keys: Sequence[str], value: str, digits: int = 3,
                  mean_col: str = "mean", count_col: str | None = "count") -> DataFrame:
-    """Rounded mean (and optionally the row count) per key."""
-    aggs = [F.round(F.avg(F.col(value)), digits).alias(mean_col)]
+    """Rounded mean (and optionally the row count) per key, exact: see :func:`exact_mean`."""
+    aggs = [exact_mean(F.col(value), digits).alias(mean_col)]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
     return df.groupBy(*keys).agg(*aggs)

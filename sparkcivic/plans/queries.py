@@ -17,9 +17,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .. import functions as fn
 from ..operators import (drop_null_island, explode_codes, first_present_column,
                          flag_not_in, project_cast, require, sample_by_key, trim_names, union_eras)
+from ..functions.sql import register_sql_functions
 from ..operators.aggregate import mean_rounded
 from ..session import scratch_path
-from ..sources import (Source, code_dictionary, ingest, parse_csv_lines, read_csv, read_parquet, read_text,
+from ..sources import (Source, code_dictionary, ingest, parse_csv_lines, read_csv, read_numbered_lines, read_parquet, read_text,
                        write_csv, write_parquet, write_text)
 from ..sources import schemas
 from . import analyses
@@ -618,6 +619,28 @@ def q_sink_csv(spark, sf):
     return read_csv(spark, path, schema="age_group string, count bigint")
 
 
+@query("sink_ordered", with_ctes(["incidents"], """
+SELECT row_number() OVER (ORDER BY age DESC NULLS LAST, dr_no) AS line, concat_ws(',', dr_no, coalesce(CAST(age AS VARCHAR), '')) AS value FROM incidents"""))
+def q_sink_ordered(spark, sf):
+    """Several part files, read back with line numbers."""
+    rows = fx.incidents_alone(spark, sf).select("dr_no", "age")
+    path = write_csv(rows, scratch_path(spark, "ordered"), header=False, order_by=[F.desc_nulls_last("age"), "dr_no"], parts=7)
+    return read_numbered_lines(spark, path)
+
+
+@query("sql_functions", with_ctes(["incidents", "sites"], f"""
+SELECT i.dr_no, {BAND_SQL.format(a="i.age")} AS band, {YEAR_SQL.replace("date_occ", "i.date_occ")} AS year, lpad(CAST(i.dr_no % 1000 AS VARCHAR), 5, '0') AS zip,
+       {spark_round(haversine_sql('i.lat', 'i.lon', 's.site_lat', 's.site_lon'), 6)} AS distance_km
+FROM incidents i JOIN sites s ON s.sid = i.dr_no % 7 WHERE i.lat IS NOT NULL AND i.lon IS NOT NULL AND i.age IS NOT NULL"""))
+def q_sql_functions(spark, sf):
+    register_sql_functions(spark)
+    return spark.sql("""
+SELECT i.dr_no, age_band(i.age) AS band, incident_year(i.date_occ) AS year, zip5(CAST(i.dr_no % 1000 AS STRING)) AS zip,
+       round(haversine_km(i.lat, i.lon, s.site_lat, s.site_lon), 6) AS distance_km
+FROM {incidents} i JOIN {sites} s ON s.sid = i.dr_no % 7 WHERE i.lat IS NOT NULL AND i.lon IS NOT NULL AND i.age IS NOT NULL""",
+                     incidents=fx.incidents_alone(spark, sf), sites=fx.sites(spark, sf))
+
+
 @query("sink_csv_noheader", with_ctes(["income", "census"], f"""
 SELECT i.zip, {_pp('i.v', 'c.hh')} AS income_per_person
 FROM (SELECT zip, {CLEAN_FLOAT} AS v FROM income) i JOIN census c ON i.zip = c.zip"""))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -116,6 +116,18 @@ def read_text(spark: SparkSession, paths) -> DataFrame:
     return spark.read.text(_paths(paths))
 
 
+def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``line`` (from 1, over the files in the order of their names) and
+    ``value``: an ordered result as its reader sees it. Every file is one row
+    on the way, so this is for results, not for raw data."""
+    files = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_name").alias("file"), F.split(F.regexp_replace("value", "\\r?\\n$", ""), "\\r?\\n").alias("lines")).where("lines <> array('')")
+    start = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one small row a file
+    before = files.select("file", F.size("lines").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(start), F.lit(0)))
+    return files.join(before, "file").select("before", F.posexplode("lines").alias("at", "value")).select(
+        (F.col("before") + F.col("at") + 1).cast("bigint").alias("line"), "value")
+
+
 def parse_csv_lines(lines: DataFrame, schema: StructType, header: str | None = None,
                     required: Sequence[str] = (), value_col: str = "value") -> DataFrame:
     """Typed rows from CSV text lines (quoted separators handled by ``from_csv``).

@@ -1,21 +1,40 @@
-"""Writers. Results are written by many tasks unless ``single_file`` is asked for."""
+"""Writers. Results are written by many tasks unless ``single_file`` is asked for.
+
+``order_by`` gives the output a total order: rows are dealt to the tasks by
+range and sorted inside each, so the part files, read by name, are in order;
+a single file is sorted by the one task that writes it. ``balanced`` lets
+Spark even out the files: small ones are merged and a value with many rows is
+split, also below ``partition_by``.
+"""
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+Order = Sequence[str | Column]
 
 
-def _one(df: DataFrame, single_file: bool) -> DataFrame:
+def _dealt(df: DataFrame, single_file: bool, order_by: Order = (), parts: int | None = None) -> DataFrame:
     # one output file means one writing task: only for small, bounded results;
     # an exchange keeps the upstream plan in its own tasks
-    return df.repartition(1) if single_file else df
+    if single_file:
+        df = df.repartition(1)
+    elif order_by:
+        df = df.repartitionByRange(parts, *order_by) if parts else df.repartitionByRange(*order_by)
+    return df.sortWithinPartitions(*order_by) if order_by else df
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: Sequence[str] | None = None, single_file: bool = False) -> str:
-    w = _one(df, single_file).write.mode(mode)
+                  partition_by: Sequence[str] | None = None, single_file: bool = False, balanced: bool = False,
+                  order_by: Order = (), parts: int | None = None) -> str:
+    if balanced:
+        if single_file or order_by:
+            raise ValueError("balanced files have no order, and are several")
+        df = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by or ()])
+    w = _dealt(df, single_file, order_by, parts).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -23,16 +42,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite",
-              single_file: bool = False, sep: str = ",") -> str:
-    (_one(df, single_file).write.mode(mode).option("header", header).option("sep", sep)
+              single_file: bool = False, sep: str = ",", order_by: Order = (), parts: int | None = None) -> str:
+    (_dealt(df, single_file, order_by, parts).write.mode(mode).option("header", header).option("sep", sep)
      .option("escape", '"').csv(path))
     return path
 
 
-def write_text(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> str:
+def write_text(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False, order_by: Order = (),
+               parts: int | None = None) -> str:
     """One line per row of a single string column. The default mode refuses
     an existing path, like saving an RDD as text."""
     if len(df.columns) != 1:
         raise ValueError("write_text needs exactly one string column")
-    _one(df, single_file).write.mode(mode).text(path)
+    _dealt(df, single_file, order_by, parts).write.mode(mode).text(path)
     return path

@@ -139,3 +139,33 @@ def test_eras_of_different_types_meet_in_a_common_one(spark):
     assert dict(got.dtypes) == {"a": "bigint", "b": "decimal(12,2)", "c": "int"}
     assert sorted((tuple(r) for r in got.collect()), key=str) == [(1, Decimal("1.50"), 3), (2 ** 40, Decimal("7.00"), None), (None, Decimal("8.00"), 12)]
     assert misfits(b.toDF("a", "b", "c"), "c int").first().c == 1
+
+
+@pytest.mark.parametrize("parts", [1, 7, 200])
+def test_means_do_not_depend_on_the_partitions(spark, parts):
+    from sparkcivic.operators import mean_rounded
+    rows = [("tie", v) for v in (0.0005, 0.0005, 0.0015, 0.0015)] + [("third", 0.1 * k) for k in range(1000)] + [("big", 1e16), ("big", 1.0), ("big", -1e16)]
+    rows += [("nan", float("nan")), ("nan", 1.0), ("none", None), ("huge", 1e30), ("huge", 1e30)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(parts)
+    got = {r.k: (r["mean"], r["count"]) for r in mean_rounded(df, ["k"], "v", 3).collect()}
+    assert got["tie"] == (0.001, 4) and got["third"] == (49.95, 1000) and got["big"] == (0.333, 3)
+    assert got["nan"][0] != got["nan"][0] and got["none"] == (None, 1) and got["huge"] == (1e30, 2)
+
+
+def test_sql_functions_are_the_column_functions(spark):
+    from sparkcivic import functions as fn
+    from sparkcivic.functions.bands import band_safe
+    from sparkcivic.functions.sql import register_sql_functions
+    assert "haversine_km" in register_sql_functions(spark) and register_sql_functions(spark)
+    texts = ["17", "18", "24", "25", "64", "65", "-3", "", "abc", "12.0", None, "+7", "00001", "123456", "$1,234.5", " $-5 ", "NaN", "inf",
+             "01/02/2020 12:00:00 AM", "13/40/2020 01:00:00 PM", "1/2/2021x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    same = df.select(
+        F.expr("age_band_safe(t)").eqNullSafe(band_safe("t")), F.expr("age_band(try_cast(t AS BIGINT))").eqNullSafe(fn.band(F.col("t").try_cast("bigint"))),
+        F.expr("incident_year(t)").eqNullSafe(fn.parse_year("t")), F.expr("incident_year_text(t)").eqNullSafe(fn.parse_year_text("t")),
+        F.expr("money(t)").eqNullSafe(fn.clean_money("t")), F.expr("money_positive(t)").eqNullSafe(fn.clean_money_positive("t")),
+        F.expr("zip5(t)").eqNullSafe(fn.zip_pad("t")))
+    assert all(all(r) for r in same.collect())
+    places = spark.createDataFrame([(0.0, 0.0, 0.0, 180.0), (90.0, 3.0, -90.0, 5.0), (34.1, -118.2, 34.0, -118.3), (None, 1.0, 1.0, 1.0)], "a double, b double, c double, d double")
+    for r in places.select(F.expr("haversine_km(a, b, c, d)").alias("x"), fn.haversine_km("a", "b", "c", "d").alias("y")).collect():
+        assert r.x == r.y or abs(r.x - r.y) < 1e-9

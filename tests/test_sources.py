@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkcivic.session import scratch_path
-from sparkcivic.sources import (Source, ingest, read_csv, read_csv_checked, read_parquet, read_text, write_csv, write_parquet,
-                                write_text)
+from sparkcivic.sources import (Source, ingest, read_csv, read_csv_checked, read_numbered_lines, read_parquet, read_text, write_csv,
+                                write_parquet, write_text)
 from sparkcivic.sources.schemas import CENSUS, INCOME
 from sparkcivic.streaming.incremental import band_counts_stream
 
@@ -125,3 +125,31 @@ def test_parquet_paths_of_different_layout(spark):
         read_parquet(spark, [a, b], schema="id bigint, nowhere int")
     spark.createDataFrame([(3, "y")], "id int, z string").write.mode("append").parquet(a)
     assert set(read_parquet(spark, a, merge_schema=True).columns) == {"id", "n", "z"}
+
+
+def test_ordered_output_in_parts_and_in_one_file(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).cast("string").alias("value"))
+    order = [F.col("value").cast("int").desc()]
+    for kw in ({"parts": 6}, {"single_file": True}):
+        path = write_text(df, scratch_path(spark, "ordered"), order_by=order, **kw)
+        lines = {r.line: r.value for r in read_numbered_lines(spark, path).collect()}
+        assert [lines[k] for k in range(1, 5001)] == [str(v) for v in range(4999, -1, -1)]
+        files = [f for f in os.listdir(path) if f.startswith("part-")]
+        assert len(files) == (6 if "parts" in kw else 1)
+
+
+def test_balanced_files_split_a_hot_value_and_merge_small_ones(spark):
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        df = spark.range(60_000, numPartitions=12).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), F.col("id") % 20)).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+        count = lambda p: {d: len([f for f in os.listdir(f"{p}/{d}") if f.endswith(".parquet")]) for d in os.listdir(p) if d.startswith("k=")}
+        plain = count(write_parquet(df, scratch_path(spark, "plain"), partition_by=["k"]))
+        even = count(write_parquet(df, scratch_path(spark, "even"), partition_by=["k"], balanced=True))
+        assert even["k=hot"] > 1 and sum(even.values()) < sum(plain.values()) / 2
+        assert sorted(n for d, n in even.items() if d != "k=hot")[10] <= 2  # but for those that were dealt with the hot one
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    with pytest.raises(ValueError):
+        write_parquet(df, scratch_path(spark, "x"), balanced=True, order_by=["k"])
