@@ -58,7 +58,7 @@ from ..session import materialize
 from .common import id_text
 
 LENGTH = 50
-GROUP, HOT = 8192, 2048  # stretches of a group; stretches of one seed beyond which its prefix is extended
+GROUP, HOT = 4096, 1024  # stretches of a group; stretches of one seed beyond which its prefix is extended
 PART_BITS = 20  # 2**20 windows of a text are worked on at a time
 CACHED = 1_000_000  # words whose hashes a Python worker remembers
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # any odd numbers
@@ -120,14 +120,14 @@ class Stretches:
         self.length, self.seed_length = length, length // 2
         self.seeds, self.digests = map(Rolling, BASES)
 
-    def cut(self, h: np.ndarray) -> pd.DataFrame:
+    def cut(self, h: np.ndarray) -> dict[str, np.ndarray]:
+        if len(h) < self.length:
+            return dict.fromkeys(("start", "windows", "shift", "seed", "digest"), np.zeros(0, np.int64))
         step = 1 << PART_BITS
-        parts = [self._cut(h[i:i + step + self.length - 1], i) for i in range(0, max(1, len(h) - self.length + 1), step)]
-        return parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        parts = [self._cut(h[i:i + step + self.length - 1], i) for i in range(0, len(h) - self.length + 1, step)]
+        return parts[0] if len(parts) == 1 else {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
 
-    def _cut(self, h: np.ndarray, offset: int) -> pd.DataFrame:
-        if len(h) < self.length:
-            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("start", "windows", "shift", "seed", "digest")})
+    def _cut(self, h: np.ndarray, offset: int) -> dict[str, np.ndarray]:
         places = np.arange(len(h) - self.seed_length + 1)
         seeds = _mixed(self.seeds.over(h)(places, places + self.seed_length))
         low = np.uint64(PART_BITS + 1)
@@ -138,8 +138,8 @@ class Stretches:
         seed = chosen[start]
         shape = (windows.astype(np.uint64) << np.uint64(8)) | (seed - start).astype(np.uint64)
         words = self.digests.over(_mixed(h ^ np.uint64(BASES[1])))(start, start + windows + self.length - 1)
-        return pd.DataFrame({"start": start + offset, "windows": windows, "shift": seed - start,
-                             "seed": seeds[seed].view(np.int64), "digest": _mixed(words ^ _mixed(shape)).view(np.int64)})
+        return {"start": start + offset, "windows": windows, "shift": seed - start, "seed": seeds[seed].view(np.int64),
+                "digest": _mixed(words ^ _mixed(shape)).view(np.int64)}
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -154,8 +154,8 @@ def _described(length: int):
             for key, text in zip(batch["id"], batch["text"]):
                 words = words_of(text)
                 found = cutter.cut(hashes.of(words) if len(words) >= length and key is not None else np.zeros(0, np.uint64))
-                found = found.drop_duplicates(["seed", "digest"])
-                rows.append((key, len(words), hashlib.sha256(b" ".join(words)).hexdigest(), found["seed"].to_numpy(), found["digest"].to_numpy()))
+                digest, at = np.unique(found["digest"], return_index=True)
+                rows.append((key, len(words), hashlib.sha256(b" ".join(words)).hexdigest(), found["seed"][at], digest))
             yield pd.DataFrame(rows, columns=["id", "n_words", "sha", "seed", "digest"])
     return describe
 
@@ -170,10 +170,11 @@ def _handed_over(length: int):
                 if not len(asked) and not len(hot):
                     continue
                 h = hashes.of(words_of(text))
-                found = cutter.cut(h).drop_duplicates("digest")
-                is_hot = np.isin(found["digest"], hot)
-                found = found[is_hot | np.isin(found["digest"], asked)].assign(hot=is_hot[is_hot | np.isin(found["digest"], asked)])
-                for a, n, shift, seed, digest, wide in found.itertuples(index=False, name=None):
+                found = cutter.cut(h)
+                digests, at = np.unique(found["digest"], return_index=True)
+                at = at[np.isin(digests, asked) | np.isin(digests, hot)]
+                rest = [found[c][at].tolist() for c in ("start", "windows", "shift", "seed", "digest")]
+                for a, n, shift, seed, digest, wide in zip(*rest, np.isin(found["digest"][at], hot).tolist()):
                     if not wide:
                         rows.append((seed, False, int(key), digest, shift, n, h[a:a + n + length - 1].tobytes()))
                         continue
@@ -230,19 +231,17 @@ def _cut_out(length: int, with_text: bool):
             for key, text, gone, digests, masks in zip(batch["id"], batch["text"], batch["gone"], batch["digests"], batch["masks"]):
                 words = words_of(text)
                 found = cutter.cut(hashes.of(words))
-                known = dict(zip(digests, masks)) if digests is not None else {}
-                known |= dict.fromkeys(gone, -1)
                 edge = np.zeros(len(words) + 1, dtype=np.int64)
-                for a, n, digest in zip(found["start"], found["windows"], found["digest"]):
-                    mask = known.get(digest, 0)
-                    if mask:
-                        starts = a + np.flatnonzero((int(mask) >> np.arange(min(n, 63))) & 1) if mask > 0 else np.array([a, a + n - 1])
-                        if mask > 0:
-                            np.add.at(edge, starts, 1)
-                            np.add.at(edge, starts + length, -1)
-                        else:
-                            edge[a] += 1
-                            edge[a + n - 1 + length] -= 1
+                whole = np.isin(found["digest"], gone)
+                first, last = found["start"][whole], (found["start"] + found["windows"])[whole] - 1
+                if digests is not None:
+                    part = np.isin(found["digest"], digests) & ~whole
+                    known = dict(zip(digests.tolist(), masks.tolist()))
+                    bits = [(a, known[d]) for a, d in zip(found["start"][part].tolist(), found["digest"][part].tolist())]
+                    starts = np.array([a + t for a, mask in bits for t in range(mask.bit_length()) if mask >> t & 1], dtype=np.int64)
+                    first, last = np.r_[first, starts], np.r_[last, starts]
+                np.add.at(edge, first, 1)
+                np.add.at(edge, last + length, -1)
                 kept = np.cumsum(edge)[:-1] == 0
                 n, left = len(words) - int(kept.sum()), b" ".join(compress(words, kept))
                 rows.append((key, hashlib.sha256(b" ".join(words)).hexdigest(), n, hashlib.sha256(left).hexdigest(), left.decode() if n and with_text else None))

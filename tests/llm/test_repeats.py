@@ -71,7 +71,7 @@ def test_parts_of_a_long_text_lose_no_window(monkeypatch):
     h = np.arange(1, 501, dtype=np.uint64) ** 3
     found = repeats.Stretches(10).cut(h)
     covered = np.concatenate([np.arange(a, a + n) for a, n in zip(found["start"], found["windows"])])
-    assert covered.tolist() == list(range(491)) and found["shift"].between(0, 5).all()
+    assert covered.tolist() == list(range(491)) and set(found["shift"]) <= set(range(6))
 
 
 def test_equal_windows_choose_equal_seeds_and_subtrees_find_them():
@@ -79,7 +79,7 @@ def test_equal_windows_choose_equal_seeds_and_subtrees_find_them():
     h = r.integers(1, 9, size=4000).astype(np.uint64)  # few different words
     found = repeats.Stretches(6).cut(h)
     where = {}
-    for a, n, shift, seed in found[["start", "windows", "shift", "seed"]].itertuples(index=False):
+    for a, n, shift, seed in zip(*(found[c].tolist() for c in ("start", "windows", "shift", "seed"))):
         for t in range(n):
             where.setdefault(h[a + t:a + t + 6].tobytes(), set()).add((seed, shift - t))
     assert all(len(v) == 1 for v in where.values())
