@@ -26,7 +26,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -62,10 +64,11 @@ def scan(text: str) -> list[tuple[str, int, int, str]]:
             out.append(("access", m.start(), m.end(), m[0]))
     out += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
     base = sorted((a, b) for _, a, b, _ in out)
+    starts, ends = [a for a, _ in base], [0, *accumulate((b for _, b in base), max)]  # how far the first spans reach
     for m in OPAQUE.finditer(text):
         s = m[0]
         if (sum(c.isdigit() for c in s) >= OPAQUE_DIGITS and any(c.isalpha() for c in s) and _bits(s) >= OPAQUE_BITS
-                and not any(a < m.end() and m.start() < b for a, b in base)):
+                and ends[bisect_left(starts, m.end())] <= m.start()):
             out.append(("opaque", m.start(), m.end(), s))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 

@@ -85,3 +85,18 @@ def test_empty_table_and_digest(spark, tmp_path):
     for r in q_secrets.query(spark, str(tmp_path)).collect():
         said = ",".join(f"{k}:{a}:{b}" for k, a, b in brute_base(TEXTS[r["doc_id"]] or ""))
         assert r["base_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_a_long_text_of_spans_takes_time_in_proportion():
+    import time
+
+    from sparkcivic.llm import secrets
+    unit = "token = abcdefgh12345678 zQ3x9Lk2Vb7Nm4Rt8Yp1Ws6Hd5Fg0Jc "
+    times = []
+    for n in (5_000, 20_000):
+        began = time.process_time()
+        found = secrets.scan(unit * n)
+        times.append(time.process_time() - began)
+        kinds = [k for k, *_ in found]
+        assert kinds.count("assign") == n and kinds.count("opaque") == n
+    assert times[1] < 10 * times[0] + 1, times
