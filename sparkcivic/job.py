@@ -8,7 +8,10 @@
     spark-submit ... sparkcivic/job.py nearest-station --crime ... --mo-codes ... --stations ... --out /out
 
 Master, resources and ``spark.checkpoint.dir`` come from the submission.
-Inputs are Parquet, or CSV with ``--format csv``; the result is written as
+Inputs are Parquet, or CSV with ``--format csv``, in which no type is guessed:
+crime extracts have a declared schema, and the cells of the small tables stay
+texts that the analyses convert (a ZIP keeps its zeros). ``--mo-codes`` may
+also be the raw list of codes (``--mo-format text``). The result is written as
 CSV or Parquet (``--write``).
 """
 
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkcivic.operators import sample_by_key
 from sparkcivic.plans import city
 from sparkcivic.session import build_session, scratch_scope
-from sparkcivic.sources import read_csv, read_parquet, write_csv, write_parquet
+from sparkcivic.sources import read_csv, read_parquet, read_text, write_csv, write_parquet
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -33,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument(f"--{name}")
     p.add_argument("--crime", nargs="+", default=[])
     p.add_argument("--format", choices=["parquet", "csv"], default="parquet")
+    p.add_argument("--mo-format", choices=["parquet", "csv", "text"], help="of --mo-codes; as --format if not given")
     p.add_argument("--write", choices=["csv", "parquet"], default="csv")
     p.add_argument("--how", choices=["native", "udf"], default="native")
     p.add_argument("--variant", choices=["dataframe", "sql", "rdd"], default="dataframe")
@@ -42,7 +46,13 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _table(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    return read_parquet(spark, path) if fmt == "parquet" else read_csv(spark, path, infer=True)
+    return read_parquet(spark, path) if fmt == "parquet" else read_csv(spark, path)
+
+
+def _codes(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    if fmt == "text":
+        return city.mo_codes(read_text(spark, path))
+    return read_csv(spark, path, schema=city.CODES) if fmt == "csv" else read_parquet(spark, path)
 
 
 def answer(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -53,7 +63,7 @@ def answer(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         return city.age_bands(crime, a.how)
     if a.question == "top-areas":
         return city.top_areas(crime, a.variant)
-    return city.nearest_station(crime, _table(spark, a.mo_codes, "parquet"), _table(spark, a.stations, a.format))
+    return city.nearest_station(crime, _codes(spark, a.mo_codes, a.mo_format or a.format), _table(spark, a.stations, a.format))
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

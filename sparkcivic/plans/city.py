@@ -33,6 +33,7 @@ CRIME_DESC, VICTIM_AGE, MO_CODES, LAT, LON = "Crm Cd Desc", "Vict Age", "Mocodes
 ZIP_NAMES = ("Zip Code", "ZipCode", "zip_code")
 INCOME_NAMES = ("Estimated Median Income", "Income")
 HOUSEHOLD_NAMES = ("Average Household Size", "average_household_size")
+CODES = "MO_Code int, Description string"
 
 
 def read_crime(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> DataFrame:
@@ -53,7 +54,7 @@ def prepare(spark: SparkSession, raw: dict[str, str], out_root: str) -> DataFram
     catalogue = []
     for name, path in raw.items():
         if name == "mo_codes":
-            catalogue.append(Source(name, path, "text", transform=_mo_codes))
+            catalogue.append(Source(name, path, "text", transform=mo_codes))
         elif name.startswith("crime"):
             catalogue.append(Source(name, path, "csv", CRIME))
         else:
@@ -61,7 +62,8 @@ def prepare(spark: SparkSession, raw: dict[str, str], out_root: str) -> DataFram
     return ingest(spark, catalogue, out_root)
 
 
-def _mo_codes(lines: DataFrame) -> DataFrame:
+def mo_codes(lines: DataFrame) -> DataFrame:
+    """The raw text list as the table of codes."""
     d = code_dictionary(lines)
     return d.select(F.col("code").alias("MO_Code"), F.col("description").alias("Description"))
 
@@ -113,6 +115,6 @@ def nearest_station(crime: DataFrame, mo_codes: DataFrame, stations: DataFrame)
     inc = crime.select(F.col(DR_NO).alias("dr_no"), F.col(MO_CODES).alias("mocodes"),
                        F.col(LAT).alias("lat"), F.col(LON).alias("lon"))
     dic = mo_codes.select(F.col("MO_Code").alias("code"), F.col("Description").alias("description"))
-    st = stations.select(F.col("DIVISION").alias("division"), F.col("Y").alias("site_lat"),
-                         F.col("X").alias("site_lon"))
+    st = stations.select(F.col("DIVISION").alias("division"), F.col("Y").try_cast("double").alias("site_lat"),
+                         F.col("X").try_cast("double").alias("site_lon"))
     return analyses.nearest_site_summary(inc, dic, st, WEAPON_WORDS)

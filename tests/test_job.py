@@ -75,6 +75,24 @@ def test_all_jobs_from_raw_files(spark, raw, tmp_path):
     assert {(r[0], r[2]) for r in near} == {("CENTRAL", 1), ("HARBOR", 1)}
 
 
+def test_jobs_on_raw_csv_and_text(spark, raw, tmp_path):
+    """No preparation: nothing is inferred, a ZIP keeps its zeros and a coordinate that is none is no site."""
+    (tmp_path / "income0.csv").write_text('Zip Code,Estimated Median Income\n00601,"$30,000"\n90002,-\n')
+    (tmp_path / "census0.csv").write_text("Zip Code,Average Household Size\n00601,3.0\n90002,n/a\n")
+    (tmp_path / "stations0.csv").write_text("X,Y,DIVISION\n-118.25,34.05,CENTRAL\nunknown,33.75,NOWHERE\n-118.28,33.75,HARBOR\n")
+    (tmp_path / "codes.csv").write_text("MO_Code,Description\n1100,Hand gun\n0913,Weapon: knife\nx,gun\n")
+    crime = [raw["crime_2010_2019"], raw["crime_2020_present"]]
+
+    def run(name, *args):
+        job.main([*args, "--format", "csv", "--out", str(tmp_path / name), "--write", "parquet"], spark)
+        return {tuple(r) for r in spark.read.parquet(str(tmp_path / name)).collect()}
+    assert run("i", "income", "--income", str(tmp_path / "income0.csv"), "--census", str(tmp_path / "census0.csv")) == {("00601", 10000.0)}
+    near = ["nearest-station", "--crime", *crime, "--stations", str(tmp_path / "stations0.csv"), "--mo-codes"]
+    texts = run("t", *near, raw["mo_codes"], "--mo-format", "text")
+    assert {(r[0], r[2]) for r in texts} == {("CENTRAL", 1), ("HARBOR", 1)}
+    assert run("c", *near, str(tmp_path / "codes.csv")) == texts
+
+
 def test_failed_source_fails_the_job(spark, tmp_path):
     with pytest.raises(SystemExit):
         job.main(["prepare", "--out", str(tmp_path / "o"), "--raw", "mo_codes=/no/such/file"], spark)

@@ -9,6 +9,7 @@ from oracle_compare import compare, duck
 
 from sparkcivic.operators import sample_by_key, sample_rows
 from sparkcivic.plans import queries
+from sparkcivic.sources import write_bucketed
 
 QUERIES = queries.queries()
 ORACLE = queries.oracle_sql()
@@ -85,3 +86,24 @@ def test_scan_prunes_and_pushes(spark):
 def test_nearest_summary_has_no_cartesian(spark):
     plan = _plan(QUERIES["nearest_site_summary"](spark, SF001))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_bucketed_join_has_no_exchange_below_it(spark):
+    """Twice over the same tables: the second join needs no new division either."""
+    income, census = queries.bucketed_by_zip(spark, SF001)
+    for mode in ("positive", "none"):
+        joined = queries.analyses.income_per_person(income, census.hint("merge"), mode)
+        plan = _plan(joined)
+        join = plan.index("SortMergeJoin")
+        assert "Exchange" in plan[:join] and "Exchange" not in plan[join:].split("Initial Plan")[0]  # above it, for the order
+    grouped = _plan(income.groupBy("zip").count())
+    assert "Exchange" not in grouped
+
+
+def test_bucketed_tables_keep_rows_and_odd_names(spark, tmp_path):
+    df = spark.createDataFrame([(None, 1), ("", 2), ("a", 3), ("a", 3)], "`zip code` string, n int")
+    got = write_bucketed(df, str(tmp_path / "t"), "zip code", 3)
+    assert sorted(got.collect(), key=str) == sorted(df.collect(), key=str)
+    assert write_bucketed(df.limit(0), str(tmp_path / "e"), "zip code", 3).columns == df.columns
+    with pytest.raises(ValueError, match="at least one bucket"):
+        write_bucketed(df, str(tmp_path / "x"), "zip code", 0)
