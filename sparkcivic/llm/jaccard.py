@@ -17,8 +17,10 @@ links' components are returned, with no link between different texts lost:
    drops the columns that hold rows of one group only. What a row loses there
    no row of another group has, which bounds its overlap with any of them.
    ``overlaps`` is the product of what is left: within a block equal n-grams
-   meet; pairs of one group, of incompatible sizes or beyond that bound are
-   left out, and the overlaps are added up over the blocks. Pairs below the
+   meet: a row looks only at those partners whose sizes leave its bound
+   sufficient, and a row whose bound suffices for none is never paired from its
+   side. Pairs of one group are left out, and the overlaps are added up over
+   the blocks. Pairs below the
    overlap that their sizes demand are discarded. A column that is expected to
    exceed ``COLUMN`` rows is cut into tiles of row blocks, so that no task
    holds all of it.
@@ -61,6 +63,7 @@ BUCKET_BITS, HISTOGRAM_PARTS = 20, 128
 BANDS, BAND_ROWS = 4, 2
 BLOCK = 500_000  # entries that one column block is made for
 COLUMN = 500_000  # rows of one column that one tile holds
+PAIRS = 2_000_000  # pairs that a task looks at in one go
 FLUSH = 500_000  # entries that a dealing task gathers before it writes
 BROADCAST_ROWS = 200_000
 RUN_CHARS, SLICE_BYTES = 1_000_000, 4_000_000
@@ -320,27 +323,35 @@ def product(gram, id, group, n, live, last_count, last_gram, side) -> Iterator[t
     up, down = SIMILAR
     order = np.lexsort((n, gram))
     gram, id, group, n, live, last_count, last_gram, side = (x[order] for x in (gram, id, group, n, live, last_count, last_gram, side))
-    start = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, dtype=int)
-    last = np.repeat(np.append(start[1:], len(gram)), np.diff(np.append(start, len(gram))))
     most = n - (_prefix_length(n) - live)  # overlap at most, with a row of another group whose prefix ends later
+    ends = np.empty(len(gram), dtype=np.int64)  # rank of the prefix's end
+    ends[np.lexsort((last_gram, last_count))] = np.arange(len(gram))
     _, which, here = np.unique(id, return_inverse=True, return_counts=True)
     here = here[which.ravel()]  # entries of the row in this block
-    i, step = np.arange(len(gram)), 1
-    while len(i):
-        i = i[i + step < last[i]]
-        j = i + step
-        fits = n[i] * down >= n[j] * up  # sizes ascend within a column: no later one fits either
-        i, j = i[fits], j[fits]
-        meet = (group[i] != group[j]) & ((side[i] == 0) | (side[i] != side[j]))
-        a, b = i[meet], j[meet]
-        earlier = np.where((last_count[a] < last_count[b]) | ((last_count[a] == last_count[b]) & (last_gram[a] <= last_gram[b])), a, b)
-        enough = most[earlier] >= -(-(n[a] + n[b]) * up // (up + down))
-        a, b, earlier = a[enough], b[enough], earlier[enough]
-        if len(a):
-            swap = id[a] > id[b]
-            a, b = np.where(swap, b, a), np.where(swap, a, b)
-            yield id[a], id[b], n[a], n[b], most[earlier] - here[earlier]
-        step += 1
+    # sizes ascend within a column, so the partners whose sizes leave a row's bound sufficient are one stretch of it
+    column = np.cumsum(np.concatenate([[0], gram[1:] != gram[:-1]])[:len(gram)]).astype(np.int64)
+    top = int(n.max()) + 2 if len(n) else 1
+    place = column * top + n
+    least, largest = -(-n * up // down), np.minimum(n * down // up, most * (up + down) // up - n)
+    low = np.searchsorted(place, column * top + least)
+    high = np.searchsorted(place, column * top + np.clip(largest, 0, top - 1), side="right")
+    for i in _in_chunks(np.flatnonzero(high > low), high - low):
+        width = high[i] - low[i]
+        first = np.cumsum(width) - width
+        j = np.arange(int(width.sum())) + np.repeat(low[i] - first, width)
+        i = np.repeat(i, width)
+        meet = (ends[i] < ends[j]) & (group[i] != group[j]) & ((side[i] == 0) | (side[i] != side[j]))
+        i, j = i[meet], j[meet]
+        if len(i):
+            a, b = np.where(id[i] > id[j], j, i), np.where(id[i] > id[j], i, j)
+            yield id[a], id[b], n[a], n[b], most[i] - here[i]
+
+
+def _in_chunks(rows: np.ndarray, width: np.ndarray) -> Iterator[np.ndarray]:
+    """``rows`` in stretches of about ``PAIRS`` pairs, at least one row each."""
+    if len(rows):
+        which = np.cumsum(width[rows]) // PAIRS
+        yield from np.split(rows, np.flatnonzero(np.diff(which)) + 1)
 
 
 MET = ("gram", "id", "component", "n", "live", "last_count", "last_gram", "side")

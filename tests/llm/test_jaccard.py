@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -104,3 +105,52 @@ def test_components_of_links(spark):
     links = [(5, 4), (4, 3), (3, 3), (9, 8), (None, 1), (8, 9), (7, 5), (20, 21)]
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     assert got == {3: 3, 4: 3, 5: 3, 7: 3, 8: 8, 9: 8, 20: 20, 21: 20}
+
+
+def _matrix(seed, rows, grams, groups):
+    r = np.random.default_rng(seed)
+    n = r.integers(5, 30, rows)
+    live = np.array([r.integers(1, k - -(-k * 4 // 5) + 2) for k in n])
+    group, last_count, last_gram = r.integers(0, groups, rows), r.integers(0, 4, rows), r.integers(0, 4, rows)
+    at = np.array([(g, i) for i in range(rows) for g in sorted(set(r.integers(0, grams, 3).tolist()))])
+    gram, i = at[:, 0], at[:, 1]
+    side = np.where(gram == 0, 1 + i % 2, 0)
+    return gram, i, group[i], n[i], live[i], last_count[i], last_gram[i], side
+
+
+@pytest.mark.parametrize("seed,chunk", [(1, 10 ** 6), (2, 1), (3, 7)])
+def test_product_equals_all_pairs(monkeypatch, seed, chunk):
+    monkeypatch.setattr(jaccard, "PAIRS", chunk)
+    m = _matrix(seed, 60, 8, 20)
+    got = sorted((int(a), int(b)) for x in jaccard.product(*m) for a, b in zip(x[0], x[1]))
+    gram, i, group, n, live, count, last, side = m
+    want, ties = [], []
+    for x in range(len(gram)):
+        for y in range(x + 1, len(gram)):
+            if gram[x] != gram[y] or group[x] == group[y] or side[x] and side[x] == side[y]:
+                continue
+            if min(n[x], n[y]) * 5 < max(n[x], n[y]) * 4:
+                continue
+            need = -(-(n[x] + n[y]) * 4 // 9)
+            bound = {k: n[k] - (n[k] - -(-n[k] * 4 // 5) + 1 - live[k]) for k in (x, y)}
+            pair = (int(min(i[x], i[y])), int(max(i[x], i[y])))
+            if (count[x], last[x]) == (count[y], last[y]):  # either bound may judge a pair whose prefixes end alike
+                ties.append((pair, [b >= need for b in bound.values()]))
+            elif bound[min((x, y), key=lambda k: (count[k], last[k]))] >= need:
+                want.append(pair)
+    free = {p for p, ok in ties if len(set(ok)) == 2}
+    want += [p for p, ok in ties if all(ok)]
+    assert sorted(p for p in got if p not in free) == sorted(p for p in want if p not in free) and len(want) > 20
+
+
+def test_a_hot_column_that_cannot_link_takes_seconds():
+    """200,000 rows that share one n-gram and have lost too many others."""
+    k = 200_000
+    one, n = np.ones(k, dtype=np.int64), np.random.default_rng(1).integers(100, 120, k)
+    t = time.monotonic()
+    assert list(jaccard.product(one, np.arange(k), np.arange(k), n, one, n, n, 0 * one)) == []
+    assert time.monotonic() - t < 5
+
+
+def test_product_of_nothing():
+    assert list(jaccard.product(*[np.zeros(0, dtype=np.int64)] * 8)) == []
