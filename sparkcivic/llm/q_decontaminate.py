@@ -12,8 +12,8 @@ NAME = "op6_decontaminate"
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dec.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    items = F.array_sort(F.transform(dec.hit_items(F.col("_hits")), lambda i: i.cast("string")))
+    rows = dec.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), item_ids=True)
+    items = F.array_sort(F.transform("_items", lambda i: i.cast("string")))
     rows = rows.select("doc_id", F.col("_n_words").alias("n_words"), dec.n_hit(F.col("_hits")).alias("n_hit"), items.alias("items"))
     return rows.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),

@@ -34,7 +34,7 @@ def brute(rows, items, width=13):
 
 
 def run(df, items, **kw):
-    rows = dec.contamination(df, items, **kw).withColumn("n_hit", dec.n_hit(F.col("_hits"))).withColumn("items", F.array_sort(dec.hit_items(F.col("_hits"))))
+    rows = dec.contamination(df, items, item_ids=True, **kw).withColumn("n_hit", dec.n_hit(F.col("_hits"))).withColumnRenamed("_items", "items")
     return sorted(((r["doc_id"], r["_n_words"], r["n_hit"], tuple(r["items"])) for r in rows.collect()), key=str)
 
 
@@ -64,7 +64,7 @@ def test_shuffle_joins_give_the_same(spark, monkeypatch):
     rows, items = corpus(4)
     bench = spark.createDataFrame(items, "item_id long, text string")
     wide = run(docs(spark, rows), bench)
-    monkeypatch.setattr(dec, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(dec, "BROADCAST_BYTES", -1)
     assert run(docs(spark, rows), bench) == wide
 
 
@@ -88,7 +88,7 @@ def test_proximity(spark):
 
 def test_native_plan(spark):
     rows, items = corpus(1)
-    df = dec.contamination(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    df = dec.contamination(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"), item_ids=True)
     plan = df._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
 
@@ -98,3 +98,28 @@ def test_greek_sigma_beside_other_signs(spark):
     rows, items = [(1, text), (2, "so " + text + " on"), (3, "other words")], [(0, text)]
     got = run(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
     assert got == brute(rows, items) and [n for _, _, n, _ in got] == [13, 13, 0]
+
+
+def test_a_window_of_many_items(spark):
+    """One sentence in 3,000 items and in 2,000 documents: their ids are gathered once, not once a document."""
+    said = " ".join(f"w{i}" for i in range(13))
+    rows = [(d, f"{said} own{d}" if d % 4 else f"no {d}") for d in range(2000)] + [(None, said)]
+    items = [(i, said if i else "w1 w2 " + said) for i in range(3000)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = dec.contamination(docs(spark, rows), bench, item_ids=True).selectExpr(
+        "doc_id", "size(_hits) AS n", "size(_items) AS k", "array_min(_items) AS least", "array_max(_items) AS last").collect()
+    assert len(out) == 2001
+    for r in out:
+        assert (r.n, r.k, r.least, r.last) == ((1, 3000, 0, 2999) if r.doc_id is not None and r.doc_id % 4 else (0, 0, None, None))
+
+
+def test_the_rarest_term_proposes_alone(spark):
+    """A frequent posted term adds no place: only the rare one's places are looked at."""
+    rows = [(d, "the of and " * 50) for d in range(20)] + [(90, "x rare the of"), (91, "rare the and")]
+    items = spark.createDataFrame([(1, "rare the of")], "item_id long, text string")
+    df = docs(spark, rows)
+    windows = dec.test_windows(items)
+    planned = dec.plan_windows(windows, dec.term_counts(df, windows))
+    assert planned.first()["lead"][0]["term"] == "rare"
+    got = {(r["doc_id"], r["start"]) for r in dec.phrase_candidates(dec.build_index(df, planned), planned).collect()}
+    assert got == {(90, 1)}
