@@ -5,6 +5,7 @@ Parquet files dropped into the source folder update the counts. State is
 kept by Spark's streaming aggregation under a checkpoint folder; every
 micro-batch writes the complete (small, bounded: one row per band) table to a
 folder of its own, so a batch that fails midway leaves the last one readable.
+The last few folders are kept, for readers that began before a new one came.
 """
 
 from __future__ import annotations
@@ -16,16 +17,20 @@ from pyspark.sql.types import StructType
 from ..plans import analyses
 from ..plans import fixtures as fx
 from ..plans.queries import AGE_BANDS_SQL, query
-from ..session import scratch_path
+from ..session import delete_paths, scratch_path
 from ..sources.sinks import write_parquet
 
 
 def band_counts_stream(spark: SparkSession, source_dir: str, schema: StructType, out_dir: str,
                        checkpoint_dir: str, age: str = "age", text: str = "crime",
-                       pattern: str = fx.CRIME_PATTERN, max_files_per_trigger: int | None = None):
+                       pattern: str = fx.CRIME_PATTERN, max_files_per_trigger: int | None = None,
+                       kept_epochs: int = 3):
     """Start a streaming query that writes the band counts over all files seen
     so far in ``source_dir`` to ``out_dir/epoch=<n>``; returns the handle. Read
-    them with :func:`latest`. ``availableNow`` processes what is there and stops."""
+    them with :func:`latest`. ``availableNow`` processes what is there and stops.
+    After each batch the folder older than the last ``kept_epochs`` is deleted."""
+    if kept_epochs < 1:
+        raise ValueError("kept_epochs must be at least 1")
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -34,6 +39,8 @@ def band_counts_stream(spark: SparkSession, source_dir: str, schema: StructType,
 
     def publish(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")  # a repeated epoch replaces itself
+        if epoch >= kept_epochs:
+            delete_paths(spark, [f"{out_dir}/epoch={epoch - kept_epochs}"])
 
     return (counts.writeStream.outputMode("complete").foreachBatch(publish)
             .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())

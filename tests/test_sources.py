@@ -7,7 +7,7 @@ from sparkcivic.session import scratch_path
 from sparkcivic.sources import (Source, ingest, read_csv, read_csv_checked, read_numbered_lines, read_parquet, read_text, write_csv,
                                 write_parquet, write_text)
 from sparkcivic.sources.schemas import CENSUS, INCOME
-from sparkcivic.streaming.incremental import band_counts_stream
+from sparkcivic.streaming.incremental import band_counts_stream, latest
 
 
 def test_csv_round_trip_with_quotes_and_nulls(spark):
@@ -153,3 +153,16 @@ def test_balanced_files_split_a_hot_value_and_merge_small_ones(spark):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
     with pytest.raises(ValueError):
         write_parquet(df, scratch_path(spark, "x"), balanced=True, order_by=["k"])
+
+
+def test_stream_keeps_the_last_epochs(spark, tmp_path):
+    for i in range(5):
+        spark.createDataFrame([(30, "Agg Assault aggravated assault")], "age int, crime string").coalesce(1).write.parquet(str(tmp_path / f"src/part={i}"))
+    out = str(tmp_path / "out")
+    q = band_counts_stream(spark, str(tmp_path / "src" / "*"), spark.read.parquet(str(tmp_path / "src" / "part=0")).schema, out,
+                           str(tmp_path / "ckpt"), pattern="(?i)aggravated assault", max_files_per_trigger=1, kept_epochs=2)
+    q.awaitTermination()
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["epoch=3", "epoch=4"]
+    assert [tuple(r) for r in latest(spark, out).collect()] == [("Adults", 5)]
+    with pytest.raises(ValueError, match="kept_epochs"):
+        band_counts_stream(spark, out, None, out, out, kept_epochs=0)
