@@ -10,13 +10,16 @@ What is validated before it counts:
   card   13 to 19 digits, in one run or in groups, with a right check digit
          and a card issuer's first digit; issuer digit and check rule are kept
   phone  international or area-code style groups with 10 to 15 digits;
-         the country code and all signs between digits are kept
+         the country code and all signs between digits are kept; a number
+         without country code is permuted as the same number behind +1
   ssn    3-2-4 groups outside the ranges that are never issued
   iban   2 letters, check digits and account with a remainder of 1; country
          and check rule are kept
   ip     four numbers up to 255 that are not part of a longer number
   date   year-month-day, day/month/year or month/day/year with a real day in
-         1900-2099; it stays a real day in the same notation
+         1900-2099; it stays a real day in the same notation. A day gets the same
+         new day in every notation: what a notation can show of it is kept, which
+         is whether its month is over 9 and its day up to 9, 10 to 12 or over 12
   email  name and host below the last label: letters stay letters, digits
          digits; the last label (and a second one that belongs to it) is kept
 
@@ -26,6 +29,10 @@ first where the length is the country's, or a phone's (3) 3-4 groups are full,
 then from the longest end to the shortest that is valid. A match without any
 valid end is searched again from its next character.
 
+Not found, and left as they are: bare runs of nine or ten digits, national
+numbers in other groups, lower-case IBANs, IPv6, dates with names of months.
+Numbers with and without a trunk digit, ``+44 (0)20``, are not linked.
+
 Defined results
   * NULL text stays NULL, with no findings; empty text stays empty.
   * Every row gives one row, repeated rows and equal or NULL ids included.
@@ -138,7 +145,7 @@ def phone(p: Permutation, s: str, back: bool) -> str | None:
     d = "".join(c for c in rest if c.isdigit())
     if not 10 <= len(d) + len(head.lstrip("+")) <= 15 or len(d) < 7:
         return None
-    return head + _fill(rest, _digits(p, f"phone{head}", d, back))
+    return head + _fill(rest, _digits(p, f"phone{head or '+1'}", d, back))
 
 
 def ssn(p: Permutation, s: str, back: bool) -> str | None:
@@ -185,21 +192,24 @@ def date(p: Permutation, s: str, back: bool) -> str | None:
         except ValueError:
             continue
         if 0 <= day < DAYS:
-            new = datetime.date.fromordinal(FIRST_DAY + _in_order(p, order, day, back))
-            width = [len(x) if x[0] == "0" or len(x) == 4 else 1 for x in parts]
-            if any(x[0] == "0" or len(x) == 2 for x in parts):
-                width = [max(w, 2) for w in width]
-            return sep.join(str(getattr(new, {"y": "year", "m": "month", "d": "day"}[k])).zfill(w) for k, w in zip(order, width))
+            new = _new_day(p, day, back)
+            return sep.join(str(getattr(new, {"y": "year", "m": "month", "d": "day"}[k])).zfill(len(x)) for k, x in zip(order, parts))
     return None
 
 
-def _in_order(p: Permutation, order: str, day: int, back: bool) -> int:
-    """Days that the same notation could mean in another way are not shared by
-    two notations: month-first dates only ever hold days over 12."""
+def _shown(day: datetime.date) -> tuple[bool, int]:
+    """What must stay for a new day to be read back from the same notation:
+    the lengths of its numbers, and that month-first dates have days over 12."""
+    return day.month > 9, (day.day > 9) + (day.day > 12)
+
+
+def _new_day(p: Permutation, day: int, back: bool) -> datetime.date:
+    kept = _shown(datetime.date.fromordinal(FIRST_DAY + day))
     while True:
-        day = p(f"date{order}", DAYS, day, back)
-        if order != "mdy" or datetime.date.fromordinal(FIRST_DAY + day).day > 12:
-            return day
+        day = p("date", DAYS, day, back)
+        new = datetime.date.fromordinal(FIRST_DAY + day)
+        if _shown(new) == kept:
+            return new
 
 
 def _mixed(p: Permutation, label: str, s: str, back: bool) -> str:

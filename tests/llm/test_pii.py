@@ -93,3 +93,30 @@ def test_documents_round_trip():
         new, found = pii.replace(r["text"] or "", P)
         assert pii.replace(new, P, back=True)[0] == (r["text"] or "")
         assert all((r["text"][a:b] not in new) for _, a, b in found)
+
+
+def day_of(text):
+    a, b, c = (int(x) for x in text.replace("/", "-").replace(".", "-").split("-"))
+    return datetime.date(a, b, c) if a > 31 else datetime.date(c, b, a) if b <= 12 else datetime.date(c, a, b)
+
+
+def test_a_day_is_linked_across_notations_and_keeps_its_own():
+    for day in (datetime.date(1900, 1, 1) + datetime.timedelta(n) for n in range(0, 73049, 97)):
+        forms = [f"{day:%Y-%m-%d}", f"{day:%d/%m/%Y}", f"{day.day}.{day.month}.{day.year}", f"{day.year}/{day.month}/{day.day}"]
+        forms += [f"{day:%m/%d/%Y}", f"{day.month}-{day.day}-{day.year}"] if day.day > 12 else []
+        new = [pii.replace(f, P)[0] for f in forms]
+        assert len({day_of(n) for n in new}) == 1, day
+        assert [pii.replace(n, P, back=True)[0] for n in new] == forms
+        assert [[len(x) for x in n.replace("/", "-").replace(".", "-").split("-")] for n in new] == \
+            [[len(x) for x in f.replace("/", "-").replace(".", "-").split("-")] for f in forms]
+
+
+def test_new_days_are_one_to_one():
+    assert len({pii._new_day(P, d, False) for d in range(0, 4000)}) == 4000
+
+
+def test_phones_are_linked_with_and_without_their_country_code():
+    forms = ["826-555-4081", "(826) 555-4081", "+1 826 555-4081", "+1 (826) 555-4081", "+18265554081", "826.555.4081"]
+    new = [pii.replace(f, P)[0] for f in forms]
+    assert len({"".join(c for c in n if c.isdigit())[-10:] for n in new}) == 1 and "8265554081" not in new[4]
+    assert [pii.replace(n, P, back=True)[0] for n in new] == forms
