@@ -9,8 +9,10 @@ the largest proportion in the chosen set is the prediction.
 
 N-grams (two and three characters, the rest of a word's edges included) go by
 hash into ``BUCKETS`` buckets, so that the model has a fixed size per
-language, whatever the corpus: that is what the driver and the tasks hold.
-Texts are counted whole, in Arrow batches.
+language, whatever the corpus: that is what the driver and the tasks hold, half
+a megabyte a language. There may be at most ``LANGS`` languages; a column with
+more distinct values, such as one of free text, is refused with an error before
+anything is counted. Texts are counted whole, in Arrow batches.
 
 Defined results
   * NULL text or text without a letter: ``und`` with a score of 0 and no
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKETS = 1 << 16
+LANGS = 256  # more than ISO 639-1 has
 SMOOTH = 0.1  # added to each count
 STEPS, SETTLED = 50, 1e-3  # EM steps at most; change of a proportion that ends them
 UNDETERMINED = "und"
@@ -79,10 +82,12 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"lang": lang, "bucket": at, "n": sums[at]})
 
 
-def fit(rows: DataFrame, lang: str = "lang", text: str = "text", smooth: float = SMOOTH) -> Model:
+def fit(rows: DataFrame, lang: str = "lang", text: str = "text", smooth: float = SMOOTH, most: int = LANGS) -> Model:
     """Counts over all given rows; at most ``BUCKETS`` sums a language reach
-    the driver."""
+    the driver. More than ``most`` languages are an error."""
     rows = rows.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    if rows.select("lang").distinct().limit(most + 1).count() > most:
+        raise ValueError(f"column {lang} has more than {most} values: clean it, or raise most for a larger model")
     sums = rows.mapInPandas(_counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = sums.toPandas()
     langs = tuple(sorted(got["lang"].unique()))

@@ -1,8 +1,10 @@
 import zlib
 
 import numpy as np
+import pytest
 from conftest import SF01
 from helpers import docs, table
+from pyspark.sql import functions as F
 
 from sparkcivic.llm import langid, q_langid
 
@@ -57,3 +59,11 @@ def test_edge_rows(spark):
 
 def test_grams_take_signs_between_letters_as_one():
     assert sorted(langid.grams("a b")) == sorted(langid.grams("a, b")) == sorted(langid.grams("A\n9B"))
+
+
+def test_a_column_of_free_text_is_refused_before_counting(spark):
+    rows = spark.range(100_000).select(F.concat(F.lit("l"), "id").alias("lang"), F.lit("ba bo").alias("text"))
+    with pytest.raises(ValueError, match="256"):
+        langid.fit(rows)
+    few = spark.range(200).select(F.concat(F.lit("l"), F.col("id") % 20).alias("lang"), F.lit("ba bo").alias("text"))
+    assert len(langid.fit(few, most=20).langs) == 20
