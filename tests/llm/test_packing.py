@@ -23,6 +23,53 @@ def test_ids_equal_the_tokenizer():
                 assert ids.tolist() == t.encode(texts[i], add_special_tokens=False).ids
 
 
+def made_units(n):
+    """Distinct words of 5 to 17 letters."""
+    out = []
+    for i in range(n):
+        w = ""
+        while i or not w:
+            w, i = w + "etaoinshrdlu"[i % 12], i // 12
+        out.append(w + "q" * (5 + len(out) % 13 - len(w)))
+    return list(dict.fromkeys(out))
+
+
+def test_units_take_little_memory_and_common_ones_stay():
+    import tracemalloc
+    words = made_units(30_000)
+    units = packing.Units(PATH, 10 ** 6)
+    tracemalloc.start()
+    for a in range(0, len(words), 3000):
+        list(units.encode_batch([" ".join(words[a:a + 3000])]))
+    per_unit = tracemalloc.get_traced_memory()[0] / len(words)
+    tracemalloc.stop()
+    assert per_unit < 100
+    few, coded = packing.Units(PATH, 4000), []
+    learn = few.learn
+    few.learn = lambda new, *rest: (coded.extend(new), learn(new, *rest))
+    for a in range(0, len(words), 1000):
+        list(few.encode_batch(["again and " + " ".join(words[a:a + 1000])]))
+        assert len(few.hash) <= 4000 + 1002 and len(few.longer) <= len(few.hash)
+    assert coded.count("again") == coded.count("and") == 1
+
+
+def test_a_shared_hash_changes_no_id(monkeypatch):
+    monkeypatch.setattr(packing, "_SPREAD", np.uint64(0))  # units that share eight bytes share the hash
+    t, texts = Tokenizer.from_file(PATH), ["internationally", "one internationale international two", "x <|", "three"]
+    units = packing.Units(PATH)
+    for run in (texts[:1], texts, texts):
+        for text, ids in zip(run, units.encode_batch(run)):
+            assert ids.tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_long_texts_are_cut_at_blanks(monkeypatch):
+    monkeypatch.setattr(packing, "RUN_CHARS", 50)
+    t, units = Tokenizer.from_file(PATH), packing.Units(PATH)
+    texts = ["It's a LONG text,\n\nwith 12345 'signs'!!'s and\ta" + "b" * 90 + " end  " * 40 + "l", "short", "\u65e5" * 80, "x" * 200, " " * 120, ""]
+    for text, ids in zip(texts, units.encode_batch(texts)):
+        assert ids.tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def brute_best_fit(lengths, capacity):
     rooms, out = [], []
     for size in sorted(lengths, reverse=True):
