@@ -17,26 +17,44 @@ one id are separate documents, and so are repeated rows (``near_copies`` keeps
 one of those that have words). A NULL text counts as empty: quality scores it
 as such, the next three stages keep it as it is, packing gives it a separator.
 A NULL id changes nothing. Equal ids or scores need no order.
+
+Memory: a Python worker gets ``BATCH_ROWS`` whole texts at a time, where Spark's
+own setting is 10,000. Both sides hold a batch several times over and keep most
+of that memory from stage to stage. Each stage lowers the session's setting, as
+what it returns runs later; a lower one stays.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkcivic.llm import decontaminate as dec
 from sparkcivic.llm import jaccard, packing, pii, q_packing, q_pii, q_quality
 from sparkcivic.llm.common import maybe_broadcast, table
-from sparkcivic.session import materialize
+from sparkcivic.session import bound_arrow_batches, materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 BROADCAST_ROWS = 200_000
+BATCH_ROWS = 500
+
+
+def stage(f):
+    @functools.wraps(f)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_arrow_batches(spark, BATCH_ROWS)
+        return f(spark, docs, sf_dir)
+    return bounded
 
 
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return q_quality.scored(spark, docs, sf_dir, COLUMNS).where("_score >= 0.5").select(*COLUMNS)
 
 
+@stage
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows are compared one by one, whatever their ids. A row goes only if its
     own text is in a group of similar texts and another row of the group stays:
@@ -49,16 +67,19 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(maybe_broadcast(gone, n["rows"], BROADCAST_ROWS), "_row", "left_anti").select(*COLUMNS)
 
 
+@stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = dec.contamination(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"), keep=COLUMNS)
     return rows.where(~dec.is_contaminated(F.col("_n_words"), dec.n_hit(F.col("_hits")))).select(*COLUMNS)
 
 
+@stage
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = pii.pseudonymise(docs.select(*COLUMNS), q_pii.KEY)
     return rows.withColumn("n_chars", F.when(F.size("_pii") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
+@stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.tokenize_and_pack(docs, q_packing.tokenizer_path())
 
@@ -70,6 +91,6 @@ ORACLE_SQL = None  # the stages learn, permute by key and tokenise
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    for name, step in STAGES[:-1]:
+        docs = materialize(step(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -40,7 +40,7 @@ from .common import id_text, whole_ids
 CAPACITY, SEPARATOR = 2048, 0
 SHARD = 32_768  # pieces that one task packs
 CACHED = 400_000  # units that one Python worker remembers, about 60 bytes each
-RUN_CHARS = 2_000_000  # characters whose units are found in one go
+RUN_CHARS = 1_000_000  # characters whose units are found in one go
 LEARNT = 500  # units that the tokenizer codes in one call
 PIECES = "doc_id long, piece long, start long, length long, ids_crc32 long"
 

@@ -126,6 +126,17 @@ def scratch_scope(spark: SparkSession):
         delete_paths(spark, paths)
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_arrow_batches(spark: SparkSession, rows: int) -> None:
+    """From now on, Python workers of this session get at most ``rows`` rows at a
+    time; a smaller bound of the session stays. Results do not depend on it."""
+    now = int(spark.conf.get(ARROW_ROWS))
+    if now <= 0 or now > rows:  # 0 and less: no bound
+        spark.conf.set(ARROW_ROWS, str(rows))
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -1,8 +1,8 @@
 import corpus_pipeline as cp
 import numpy as np
 import pytest
-from conftest import SF01
-from helpers import table
+from conftest import SF001, SF01
+from helpers import docs, table
 from oracle_compare import compare, duck
 from test_decontaminate import brute as brute_contamination
 from test_jaccard import brute as brute_components
@@ -96,3 +96,19 @@ def test_near_copies_goes_by_rows_not_ids(spark):
     got = [(r["doc_id"], r["text"]) for r in cp.near_copies(spark, docs, SF01).collect()]
     assert sorted(got, key=str) == sorted([texts[k] for k in stays], key=str)
     assert (2, "wholly different words that nobody else has") in got and len([g for g in got if g[0] == 3]) == 2
+
+
+def test_stages_bound_the_batches_of_python_workers(spark):
+    key, df = "spark.sql.execution.arrow.maxRecordsPerBatch", docs(spark, [f"some text {i}" for i in range(1500)]).coalesce(1)
+    kept = spark.conf.get(key)
+    try:
+        for _, stage in cp.STAGES[3:4]:
+            spark.conf.set(key, "10000")
+            stage(spark, df, SF001)
+            sizes = df.select("doc_id").mapInPandas(lambda parts: (p.iloc[:1].assign(doc_id=len(p)) for p in parts), "doc_id long").collect()
+            assert max(r["doc_id"] for r in sizes) == cp.BATCH_ROWS
+        spark.conf.set(key, "20")
+        cp.STAGES[3][1](spark, df, SF001)
+        assert spark.conf.get(key) == "20"
+    finally:
+        spark.conf.set(key, kept)
