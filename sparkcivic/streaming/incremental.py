@@ -57,11 +57,9 @@ def q_age_bands_stream(spark, sf):
     src = scratch_path(spark, "incident-stream")
     first, second = fx.incident_eras(spark, sf)
     from ..operators import trim_names
-    # two files arriving one after the other
-    write_parquet(first, f"{src}/era=1")
-    write_parquet(trim_names(second), f"{src}/era=2")
-    out = scratch_path(spark, "band-stream-out")
-    handle = band_counts_stream(spark, f"{src}/*", first.schema, out, scratch_path(spark, "band-stream-ckpt"),
-                                max_files_per_trigger=1)
-    handle.awaitTermination()
+    out, checkpoint = scratch_path(spark, "band-stream-out"), scratch_path(spark, "band-stream-ckpt")
+    # two eras arriving one after the other: each is a batch, of however many files
+    for era, rows in enumerate((first, trim_names(second)), 1):
+        write_parquet(rows, f"{src}/era={era}")
+        band_counts_stream(spark, f"{src}/*", first.schema, out, checkpoint).awaitTermination()
     return latest(spark, out)

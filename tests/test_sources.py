@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from conftest import SF001
 from pyspark.sql import functions as F
 
 from sparkcivic.session import scratch_path
@@ -166,3 +167,27 @@ def test_stream_keeps_the_last_epochs(spark, tmp_path):
     assert [tuple(r) for r in latest(spark, out).collect()] == [("Adults", 5)]
     with pytest.raises(ValueError, match="kept_epochs"):
         band_counts_stream(spark, out, None, out, out, kept_epochs=0)
+
+
+def test_stream_query_runs_one_batch_an_era(spark, tmp_path):
+    """However many files an era has: batches times state partitions would grow as the square of the input."""
+    from sparkcivic.session import scratch_scope
+    from sparkcivic.streaming import incremental
+    for name in ("orders", "customer"):
+        spark.read.parquet(f"{SF001}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so that an era has several files
+    join = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with scratch_scope(spark) as paths:
+            rows = incremental.q_age_bands_stream(spark, str(tmp_path)).collect()
+            src, out = (next(p for p in paths if f"/{n}-" in p) for n in ("incident-stream", "band-stream-out"))
+            assert all(len([f for f in os.listdir(f"{src.removeprefix('file:')}/era={k}") if f.endswith(".parquet")]) > 1 for k in (1, 2))
+            assert sorted(f for f in os.listdir(out.removeprefix("file:")) if "=" in f) == ["epoch=0", "epoch=1"]
+        from sparkcivic.plans import analyses, fixtures as fx
+        want = analyses.band_counts(fx.incidents(spark, SF001), "age", "crime", fx.CRIME_PATTERN).collect()
+        assert sorted(rows) == sorted(want) and len(want) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", join)
