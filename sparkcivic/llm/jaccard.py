@@ -21,7 +21,9 @@ links' components are returned, with no link between different texts lost:
    sufficient, and a row whose bound suffices for none is never paired from its
    side. Pairs of one group are left out, and the overlaps are added up over
    the blocks. Pairs below the
-   overlap that their sizes demand are discarded. A column that is expected to
+   overlap that their sizes demand are discarded. A block's pairs are made row
+   by row, ``PAIRS`` at a time, and counted and written before the next ones are
+   made, so they need not fit a task together. A column that is expected to
    exceed ``COLUMN`` rows is cut into tiles of row blocks, so that no task
    holds all of it.
 5. ``verified``: the exact overlap of the sets of the pairs that are left.
@@ -48,6 +50,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,8 +66,8 @@ BUCKET_BITS, HISTOGRAM_PARTS = 20, 128
 BANDS, BAND_ROWS = 4, 2
 BLOCK = 500_000  # entries that one column block is made for
 COLUMN = 500_000  # rows of one column that one tile holds
-PAIRS = 2_000_000  # pairs that a task looks at in one go
-FLUSH = 500_000  # entries that a dealing task gathers before it writes
+PAIRS = 200_000  # pairs that a task looks at in one go, and rows that it writes at a time
+FLUSH, FRAMES = 500_000, 16  # entries that a dealing task gathers before it writes, frames that it writes them in
 BROADCAST_ROWS = 200_000
 RUN_CHARS, SLICE_BYTES = 1_000_000, 4_000_000
 
@@ -268,10 +271,11 @@ def _dealt(blocks: int, counts, column: int):
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rare, held, n = counts.value, [], 0
 
-        def out() -> pd.DataFrame:
+        def out() -> Iterator[pd.DataFrame]:
             size = np.array([len(p) for _, _, p in held])
             ids, groups = (np.repeat(np.array([x[k] for x in held], dtype=np.int64), size) for k in range(2))
             grams = np.concatenate([p for _, _, p in held])
+            held.clear()
             cuts = -(-rare[(grams >> _U(64 - BUCKET_BITS)).astype(np.int64)].astype(np.int64) // column)
             block = (grams % _U(blocks)).astype(np.int64)
             wide = cuts > 1  # a large column: its rows go to as many blocks as it has parts
@@ -280,31 +284,40 @@ def _dealt(blocks: int, counts, column: int):
             order = np.argsort(block, kind="stable")
             edges = np.flatnonzero(np.diff(block[order], prepend=-1)).tolist() + [len(order)]
             parts = [order[a:b] for a, b in zip(edges, edges[1:])]
-            return pd.DataFrame({"block": [int(block[w[0]]) for w in parts], "grams": [grams[w].tobytes() for w in parts],
-                                 "ids": [ids[w].tobytes() for w in parts], "groups": [groups[w].tobytes() for w in parts],
-                                 "cuts": [cuts[w].astype(np.int32).tobytes() for w in parts]})
+            step = -(-len(parts) // FRAMES)
+            for k in range(0, len(parts), step):
+                some = parts[k:k + step]
+                yield pd.DataFrame({"block": [int(block[w[0]]) for w in some], "grams": [grams[w].tobytes() for w in some],
+                                    "ids": [ids[w].tobytes() for w in some], "groups": [groups[w].tobytes() for w in some],
+                                    "cuts": [cuts[w].astype(np.int32).tobytes() for w in some]})
         for batch in batches:
             for i, g, p in zip(batch["id"].tolist(), batch["component"].tolist(), batch["prefix"].tolist()):
                 held.append((i, g, np.frombuffer(p, dtype=np.uint64)))
                 n += len(held[-1][2])
                 if n >= FLUSH:
-                    yield out()
-                    held, n = [], 0
+                    yield from out()
+                    n = 0
         if held:
-            yield out()
+            yield from out()
     return deal
 
 
-def _alive(g: pd.DataFrame) -> pd.DataFrame:
+def _alive(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Entries of columns with rows of two groups; of parts of a large column, all."""
     kinds = {"grams": np.uint64, "ids": np.int64, "groups": np.int64, "cuts": np.int32}
-    grams, ids, groups, cuts = (np.frombuffer(b"".join(g[k]), dtype=t) for k, t in kinds.items())
+    held = {k: [] for k in kinds}
+    for g in batches:
+        for k in kinds:
+            held[k] += g[k].tolist()
+    grams, ids, groups, cuts = (np.frombuffer(b"".join(held.pop(k)), dtype=t) for k, t in kinds.items())
     order = np.argsort(grams, kind="stable")
     grams, ids, groups, cuts = grams[order], ids[order], groups[order], cuts[order]
     start = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
     mixed = np.minimum.reduceat(groups, start) != np.maximum.reduceat(groups, start)
-    keep = np.repeat(mixed, np.diff(np.append(start, len(grams)))) | (cuts > 1)
-    return pd.DataFrame({"gram": grams[keep].astype(np.int64), "id": ids[keep], "cut": np.maximum(cuts[keep], 1)})
+    keep = np.flatnonzero(np.repeat(mixed, np.diff(np.append(start, len(grams)))) | (cuts > 1))
+    for a in range(0, len(keep), PAIRS):
+        at = keep[a:a + PAIRS]
+        yield pd.DataFrame({"gram": grams[at].astype(np.int64), "id": ids[at], "cut": np.maximum(cuts[at], 1)})
 
 
 def live_entries(rows: DataFrame, entries: int, counts, column: int = COLUMN) -> DataFrame:
@@ -319,32 +332,41 @@ def product(gram, id, group, n, live, last_count, last_gram, side) -> Iterator[t
     """Pairs of rows that meet in a column: ``a < b``, their sizes and a bound,
     once for each shared column. Left out: pairs of one group, of incompatible
     sizes, and those whose overlap is bounded below what they need. The bound
-    is what their overlap could be if nothing of this block were shared."""
+    is what their overlap could be if nothing of this block were shared. Last,
+    the numbers of the row that looks and of the one it looks at: the same row
+    of a pair looks in all columns, and the rows that look come in order."""
     up, down = SIMILAR
     order = np.lexsort((n, gram))
     gram, id, group, n, live, last_count, last_gram, side = (x[order] for x in (gram, id, group, n, live, last_count, last_gram, side))
     most = n - (_prefix_length(n) - live)  # overlap at most, with a row of another group whose prefix ends later
-    ends = np.empty(len(gram), dtype=np.int64)  # rank of the prefix's end
-    ends[np.lexsort((last_gram, last_count))] = np.arange(len(gram))
-    _, which, here = np.unique(id, return_inverse=True, return_counts=True)
-    here = here[which.ravel()]  # entries of the row in this block
+    order = np.lexsort((n, id, last_gram, last_count))
+    new = np.zeros(len(gram), dtype=np.int32)
+    for x in (n, id, last_gram, last_count):
+        new[1:] |= x[order[1:]] != x[order[:-1]]
+    row = np.empty(len(gram), dtype=np.int32)  # numbers of rows, by the rank of the prefix's end
+    row[order] = np.cumsum(new)
     # sizes ascend within a column, so the partners whose sizes leave a row's bound sufficient are one stretch of it
     column = np.cumsum(np.concatenate([[0], gram[1:] != gram[:-1]])[:len(gram)]).astype(np.int64)
+    del gram, live, last_count, last_gram, order, new
     top = int(n.max()) + 2 if len(n) else 1
     place = column * top + n
     least, largest = -(-n * up // down), np.minimum(n * down // up, most * (up + down) // up - n)
     low = np.searchsorted(place, column * top + least)
     high = np.searchsorted(place, column * top + np.clip(largest, 0, top - 1), side="right")
-    for i in _in_chunks(np.flatnonzero(high > low), high - low):
+    del column, place, least, largest
+    rest = most - np.bincount(row)[row]  # without the entries of the row in this block
+    looks = np.flatnonzero(high > low)
+    looks = looks[np.argsort(row[looks], kind="stable")]
+    for i in _in_chunks(looks, high - low):
         width = high[i] - low[i]
         first = np.cumsum(width) - width
         j = np.arange(int(width.sum())) + np.repeat(low[i] - first, width)
         i = np.repeat(i, width)
-        meet = (ends[i] < ends[j]) & (group[i] != group[j]) & ((side[i] == 0) | (side[i] != side[j]))
+        meet = (row[i] < row[j]) & (group[i] != group[j]) & ((side[i] == 0) | (side[i] != side[j]))
         i, j = i[meet], j[meet]
         if len(i):
             a, b = np.where(id[i] > id[j], j, i), np.where(id[i] > id[j], i, j)
-            yield id[a], id[b], n[a], n[b], most[i] - here[i]
+            yield id[a], id[b], n[a], n[b], rest[i], row[i], row[j]
 
 
 def _in_chunks(rows: np.ndarray, width: np.ndarray) -> Iterator[np.ndarray]:
@@ -354,22 +376,45 @@ def _in_chunks(rows: np.ndarray, width: np.ndarray) -> Iterator[np.ndarray]:
         yield from np.split(rows, np.flatnonzero(np.diff(which)) + 1)
 
 
-MET = ("gram", "id", "component", "n", "live", "last_count", "last_gram", "side")
-
-
-def _multiplied(g: pd.DataFrame) -> pd.DataFrame:
-    got = list(product(*(g[c].to_numpy(dtype=np.int64) for c in MET)))
-    if not got:
-        return pd.DataFrame({k: pd.Series(dtype="int64") for k in ("a", "b", "na", "nb", "o")})
-    a, b, na, nb, rest = (np.concatenate(x) for x in zip(*got))
-    order = np.lexsort((b, a))
-    a, b, na, nb, rest = a[order], b[order], na[order], nb[order], rest[order]
-    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-    o = np.diff(np.append(first, len(a)))
+def counted(chunks: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The pairs of ``product``, each once, and the number of columns that each
+    shares. Only the pairs of a chunk's last row wait for the next chunk."""
+    held = None
+    for chunk in chunks:
+        chunk = *chunk, np.ones(len(chunk[0]), dtype=np.int64)
+        if held is not None:
+            chunk = [np.concatenate(x) for x in zip(held, chunk)]
+        *pair, looks, at, o = chunk
+        order = np.lexsort((at, looks))
+        looks, at = looks[order], at[order]
+        first = np.flatnonzero(np.concatenate([[True], (looks[1:] != looks[:-1]) | (at[1:] != at[:-1])]))
+        once = [*(x[order[first]] for x in pair), looks[first], at[first], np.add.reduceat(o[order], first)]
+        whole = np.searchsorted(once[-3], once[-3][-1])
+        held = [x[whole:] for x in once]
+        yield *(x[:whole] for x in once[:-3]), once[-1][:whole]
+    if held is not None:
+        yield *held[:-3], held[-1]
+
+
+#: Columns of a tile's entries, in types that hold them
+MET = {"gram": np.int64, "id": np.int64, "component": np.int64, "n": np.int64, "live": np.int32, "last_count": np.int32,
+       "last_gram": np.int64, "side": np.int8}
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    held = {c: [] for c in MET}
+    for g in batches:
+        for c, t in MET.items():
+            held[c].append(g.column(c).to_numpy().astype(t))  # a copy, as a view holds all columns
+    for c in MET:
+        yield np.concatenate(held.pop(c))
+
+
+def _multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     up, down = SIMILAR
-    keep = rest[first] + o >= -(-(na[first] + nb[first]) * up // (up + down))  # what this block did not share is lost
-    first, o = first[keep], o[keep]
-    return pd.DataFrame({"a": a[first], "b": b[first], "na": na[first], "nb": nb[first], "o": o})
+    for a, b, na, nb, rest, o in counted(product(*_entries(batches))):
+        keep = rest + o >= -(-(na + nb) * up // (up + down))  # what this block did not share is lost
+        yield pa.RecordBatch.from_pydict({"a": a[keep], "b": b[keep], "na": na[keep], "nb": nb[keep], "o": o[keep]})
 
 
 def overlaps(rows: DataFrame, live: DataFrame, entries: int) -> DataFrame:
@@ -388,7 +433,7 @@ def overlaps(rows: DataFrame, live: DataFrame, entries: int) -> DataFrame:
     one = F.array(F.struct(F.pmod("gram", F.lit(blocks)).alias("tile"), F.lit(0).alias("side")))
     met = met.withColumn("at", F.explode(F.when(F.col("cut") == 1, one).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("cut") - 1), tile))))
-    part = met.select(F.col("at.tile").alias("tile"), F.col("at.side").alias("side"), *MET[:-1]).groupBy("tile").applyInPandas(
+    part = met.select(F.col("at.tile").alias("tile"), F.col("at.side").alias("side"), *(c for c in MET if c != "side")).groupBy("tile").applyInArrow(
         _multiplied, "a long, b long, na long, nb long, o long")
     whole = part.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
     need = _needed(F.col("na"), F.col("nb"))

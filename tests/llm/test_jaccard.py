@@ -1,7 +1,9 @@
 import random
 import time
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import docs
 
@@ -154,3 +156,34 @@ def test_a_hot_column_that_cannot_link_takes_seconds():
 
 def test_product_of_nothing():
     assert list(jaccard.product(*[np.zeros(0, dtype=np.int64)] * 8)) == []
+
+
+def test_pairs_of_a_block_are_not_held_together():
+    """Five million pairs in ten columns of 1,000 rows: each pair once, with all
+    columns that it shares, in a fraction of the memory of all of them."""
+    rows, columns = 1000, 10
+    i, one = np.tile(np.arange(rows), columns), np.ones(rows * columns, dtype=np.int64)
+    block = pa.table([np.repeat(np.arange(columns), rows), i, i, 100 * one, 21 * one, one, i, 0 * one], names=list(jaccard.MET))
+    tracemalloc.start()
+    try:
+        got, n = np.zeros((rows, rows), dtype=np.int8), 0
+        for x in jaccard._multiplied(iter(block.to_batches(max_chunksize=500))):
+            got[x.column("a").to_numpy(), x.column("b").to_numpy()] += x.column("o").to_numpy().astype(np.int8)
+            n += x.num_rows
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == rows * (rows - 1) // 2 and np.array_equal(got, np.triu(np.full((rows, rows), columns, dtype=np.int8), 1))
+    assert most < 100e6  # 639e6 when the pairs of a block were gathered before they were counted
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 10 ** 6])
+def test_counted_adds_up_pairs_over_chunks(monkeypatch, chunk):
+    monkeypatch.setattr(jaccard, "PAIRS", chunk)
+    m = _matrix(5, 60, 8, 20)
+    want = {}
+    for x in jaccard.product(*m):
+        for a, b in zip(x[0].tolist(), x[1].tolist()):
+            want[a, b] = want.get((a, b), 0) + 1
+    got = [(a, b, o) for x in jaccard.counted(jaccard.product(*m)) for a, b, o in zip(x[0].tolist(), x[1].tolist(), x[-1].tolist())]
+    assert {(a, b): o for a, b, o in got} == want and len(got) == len(want) and max(want.values()) > 1
